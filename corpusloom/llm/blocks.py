@@ -53,7 +53,9 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     """The UTF-8 bytes of a text column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "") if column.null_count else column
+    if column.null_count:
+        binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+        column = pc.fill_null(column, b"" if binary else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]

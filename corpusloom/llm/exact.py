@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm.blocks import buffers
 from corpusloom.llm.runtime import cut, documents, parts, whole_number
 
 MEMTABLE = 50_000
@@ -31,6 +32,13 @@ def folded(text: bytes) -> bytes:
     return text.lower()
 
 
+def folded_rows(column: pa.Array) -> Iterator[bytes]:
+    """The folded bytes of each row."""
+    data, offsets = buffers(column)
+    for a, b in zip(offsets[:-1], offsets[1:]):
+        yield folded(data[a:b].tobytes())
+
+
 class Bloom:
     """A Bloom filter of digests, FILTER_BITS bits for each, three probes."""
 
@@ -168,7 +176,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = M
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = [hashlib.sha256(folded(x.as_buffer().to_pybytes())).digest() for x in batch.column("raw")]
+            whole = [hashlib.sha256(x).digest() for x in folded_rows(batch.column("raw"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x[:digest_bytes] for x in whole], pa.binary()), pa.array([x.hex() for x in whole])], ["doc_id", "digest", "text_sha256"]
             )
@@ -203,13 +211,12 @@ def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            differ = [folded(a.as_buffer().to_pybytes()) != folded(b.as_buffer().to_pybytes()) for a, b in zip(batch.column("raw"), batch.column("kept_raw"))]
+            differ = [a != b for a, b in zip(folded_rows(batch.column("raw")), folded_rows(batch.column("kept_raw")))]
             yield batch.select(["digest", "doc_id"]).filter(pa.array(differ))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size = [len(x) if x is not None else 0 for x in batch.column("digest").to_pylist()]
-            same = [hashlib.sha256(folded(a.as_buffer().to_pybytes())).digest()[:n] == d for a, d, n in zip(batch.column("raw"), batch.column("digest").to_pylist(), size)]
+            same = [hashlib.sha256(x).digest()[: len(d)] == d for x, d in zip(folded_rows(batch.column("raw")), batch.column("digest").to_pylist())]
             yield batch.filter(pa.array(same))
 
     ids = members.where(F.col("doc_id").isNotNull()).select("doc_id", "digest", "keep_id")

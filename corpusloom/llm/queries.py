@@ -61,8 +61,8 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 """,
     "op9_jaccard_join": """
 WITH RECURSIVE tokens AS (
-  SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D]', ' ', 'g'), ' '), x -> x <> '') AS w FROM documents),
-shingles AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+  SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D]', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents),
+shingles AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM tokens),
 sizes AS (SELECT doc_id, count(*) AS n, bit_xor(hash(s)) AS k1, sum(hash(s)::HUGEINT) AS k2 FROM shingles GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),

@@ -9,8 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Most bytes of an Arrow batch, on either side of the pipe to a Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Python workers: rows are whole texts, and the default batch holds 64 MB of them."""
+    if int(spark.conf.get(_BATCH, f"{64 << 20}b").rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     """One of the input tables."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
