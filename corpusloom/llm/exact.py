@@ -222,7 +222,7 @@ def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFra
     ids = members.where(F.col("doc_id").isNotNull()).select("doc_id", "digest", "keep_id")
     texts = ids.join(base, "doc_id").mapInArrow(own, "doc_id bigint, digest binary, keep_id bigint, raw binary")
     texts = cut(texts)
-    kept = texts.where("doc_id = keep_id").groupBy("digest").agg(F.min("raw").alias("kept_raw"))
+    kept = cut(texts.where("doc_id = keep_id").groupBy("digest").agg(F.min("raw").alias("kept_raw")))
     return cut(texts.join(kept, "digest").mapInArrow(run, "digest binary, doc_id bigint"))
 
 
