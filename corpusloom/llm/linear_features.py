@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import SPACE, U, buffers, mix, words
-from corpusloom.llm.runtime import whole_number
+from corpusloom.llm.runtime import cut, whole_number
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
@@ -22,11 +22,14 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 def sample(rows: DataFrame, label: str, most: int) -> DataFrame:
     """At most ``most`` rows of each label, those with the smallest hashes of id and text.
 
-    ``most`` is at most 1000, so that Spark keeps only that many rows of a label in each
-    task before it moves any.
+    Labels are counted first; only rows below a hash that twice ``most`` rows of their label
+    (and 40 more) fall under are moved to be ranked, whatever the label's size.
     """
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text")
-    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= min(most, 1000)).drop("_n")
+    counts = cut(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_all")))
+    share = (F.lit(2.0 * most + 40) / F.col("_all")) * F.lit(2.0**64) - F.lit(2.0**63)
+    near = rows.withColumn("_hash", F.xxhash64("doc_id", "text")).join(counts, label).where(F.col("_hash").cast("double") <= share)
+    order = Window.partitionBy(label).orderBy("_hash", "doc_id", "text")
+    return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n", "_hash", "_all")
 
 
 def texts_of(docs: DataFrame, *others: str) -> DataFrame:

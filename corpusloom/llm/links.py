@@ -11,6 +11,9 @@ The way is the same for every kind of bucket:
    are verified exactly by a matrix product of incidence. No pair leaves the task: only
    counts and a spanning forest do.
 
+Aggregates are materialised before they are joined, since Spark splits the join of a
+very common key only between two plain shuffles.
+
 Nothing is capped: every pair that met in any bucket and passed the sketch is verified.
 """
 
@@ -89,7 +92,7 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
 
 def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (bucket, node) of buckets with 2 to SMALL nodes, and of larger ones."""
-    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     sized = members.join(counts, "bucket")
     return sized.where(F.col("n") <= SMALL).drop("n"), sized.where(F.col("n") > SMALL).drop("n")
 
@@ -131,7 +134,7 @@ def large_pairs(members: DataFrame, one: DataFrame, threshold: float) -> DataFra
     for _ in range(ROUNDS):
         if left.isEmpty():
             return out
-        centres = left.groupBy("bucket").agg(F.min("node").alias("u"))
+        centres = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
         star = left.join(centres, "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u")
         star = cut(sketch_filter(star, one, threshold, ["bucket", "u", "v"]))
         out = out.union(star.where("like").select("u", "v"))
@@ -140,7 +143,7 @@ def large_pairs(members: DataFrame, one: DataFrame, threshold: float) -> DataFra
         pairs = sketch_filter(small_pairs(small), one, threshold, ["u", "v"])
         out = out.union(pairs.where("like").select("u", "v"))
         left = cut(left)
-    last = left.groupBy("bucket").agg(F.min("node").alias("u"))
+    last = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
     return out.union(left.join(last, "bucket").select("u", F.col("node").alias("v")).where("v > u"))
 
 
@@ -153,10 +156,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        down = cut(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         now = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
@@ -169,7 +172,7 @@ def components(edges: DataFrame) -> DataFrame:
 def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root) from the exact comparison of all nodes of each group (node, root)."""
     spark = docs.sparkSession
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    sizes = cut(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
     placed = groups.join(sizes, "root").join(one.select("node", "doc_id", "set_key", "weight"), "node")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     text = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -281,7 +284,7 @@ def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[Dat
     roots = components(exact.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     full = one.select("node", "set_key", "doc_id", "weight").join(counts, "node", "left").join(roots, "node", "left")
     full = cut(full.withColumn("root", F.coalesce("root", "node")))
-    least = full.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    least = cut(full.groupBy("root").agg(F.min("doc_id").alias("class_id")))
     classes = full.join(least, "root").select(
         "set_key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("doc_id").alias("set_id")
     )

@@ -25,7 +25,8 @@ def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     (doc_id, position). Lines of fewer than ``least_words`` words stay.
     """
     units = cut(lines(docs, normal).where(F.col("words") >= least_words))
-    firsts = units.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = units.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = cut(firsts.where("n > 1"))  # a table of its own lets Spark split the join where a line is very common
     later = units.join(firsts, "digest").where("doc_id <> first.doc_id or pos <> first.pos")
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
