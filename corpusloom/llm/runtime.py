@@ -36,9 +36,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder, which survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the reliable checkpoint folder, which survives lost executors.
+
+    A checkpoint keeps the size that was estimated for its plan. Joins multiply estimates, so
+    in loops they double their digits with each round; the rows are taken up anew without one,
+    and adaptive execution goes by the sizes it meets.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    done = df.checkpoint(eager=True)._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
