@@ -4,10 +4,11 @@ The way is the same for every kind of bucket:
 
 1. Documents with equal shingle sets become one node with a weight.
 2. Nodes that meet in a bucket of at most SMALL nodes are paired; in a larger bucket
-   each node is paired with the smallest one, which then leaves with the nodes like it,
-   and so on. Pairs whose sketches rule out the threshold are dropped.
+   each node is compared with the smallest one, which then leaves with the nodes that are
+   nearly like it; all that may be like one of these join the same group. Pairs whose
+   sketches rule out the threshold are dropped.
 3. What remains connects nodes to groups. Each node's set goes to its group once, or
-   once for each pair of blocks in a group of over BLOCK nodes, and all pairs of a group
+   once for each pair of blocks in a group of over BLOCK nodes or BLOCK_SHINGLES shingles, and all pairs of a group
    are verified exactly by a matrix product of incidence. No pair leaves the task: only
    counts and a spanning forest do.
 
@@ -28,13 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import MinHash, U, buffers, mix, shingles, slices, words
-from corpusloom.llm.runtime import cut, parts, whole_number
+from corpusloom.llm.runtime import cut, parts, small_side, whole_number
 
 SMALL = 32
-BLOCK = 256
+BLOCK = 1024
+BLOCK_SHINGLES = 2_000_000
 SKETCH = 64
-#: Shares of equal sketch values below this rule out 0.8: five standard deviations.
+#: Less than the threshold by more than this in shares of equal sketch values rules out the threshold: five standard deviations.
 SLACK = 0.25
+#: In a large bucket, a node this much like the smallest leaves with it; one half as like it is still joined to its group,
+#: since it may be at the threshold to a node that left.
+LEAVES, JOINS = 0.55, 0.3
 ROUNDS = 4
 
 Keys = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
@@ -93,7 +98,7 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
 def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (bucket, node) of buckets with 2 to SMALL nodes, and of larger ones."""
     counts = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    sized = members.join(counts, "bucket")
+    sized = members.join(small_side(counts), "bucket")
     return sized.where(F.col("n") <= SMALL).drop("n"), sized.where(F.col("n") > SMALL).drop("n")
 
 
@@ -104,47 +109,60 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return first.select("u", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("v")).where("u < v").distinct()
 
 
-def sketch_filter(pairs: DataFrame, one: DataFrame, threshold: float, kept: list[str]) -> DataFrame:
-    """``pairs`` with a column ``like``: whether the sketches leave ``threshold`` possible."""
-    least = int(np.floor((threshold - SLACK) * SKETCH))
+def sketch_filter(pairs: DataFrame, one: DataFrame, threshold: float | None, kept: list[str]) -> DataFrame:
+    """``pairs`` with ``same``, the share of equal sketch values; only those that leave ``threshold`` possible if it is given."""
+    least = int(np.floor((threshold - SLACK) * SKETCH)) if threshold else 0
     a = one.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
     b = one.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (buffers(batch.column(c).cast(pa.large_binary()).fill_null(b""))[0].reshape(-1, SKETCH) for c in ("a", "b"))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array((x == y).sum(axis=1) >= least)], [*kept, "like"]
-            )
+            same = (x == y).sum(axis=1)
+            columns = [*(batch.column(c) for c in kept), pa.array(same / SKETCH)]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "same"]).filter(pa.array(same >= least))
 
     wide = pairs.join(a, "u").join(b, "v").select(*kept, "a", "b")
-    return wide.mapInArrow(run, ", ".join(f"{c} bigint" for c in kept) + ", like boolean")
+    return wide.mapInArrow(run, ", ".join(f"{c} bigint" for c in kept) + ", same double")
+
+
+def by_size(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Buckets (bucket, node) split by the sets' sizes without loss.
+
+    Sets at the threshold differ in size by its inverse at most. Classes are that wide, and a
+    set is put in its own and the next one, so such sets share one.
+    """
+    own = F.floor(F.log(F.col("size").cast("double")) / float(-np.log(threshold)) + 1e-9)
+    sized = members.join(one.select("node", "size"), "node")
+    return sized.select(F.explode(F.array(own, own + 1)).alias("class"), "bucket", "node").select(F.xxhash64("bucket", "class").alias("bucket"), "node")
+
+
+def strip(left: DataFrame, one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round over buckets (bucket, node): edges (u, v) to each one's smallest node, and what stays in the buckets."""
+    centres = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
+    star = left.join(small_side(centres), "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u")
+    star = cut(sketch_filter(star, one, None, ["bucket", "u", "v"]))
+    return star.where(F.col("same") >= JOINS).select("u", "v"), star.where(F.col("same") < LEAVES).select("bucket", F.col("v").alias("node"))
 
 
 def large_pairs(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """Pairs that connect what may be alike in buckets of over SMALL nodes, without all pairs.
 
-    Round by round the smallest node of a bucket takes out itself and the nodes like it.
-    What shrinks to SMALL nodes is paired; what resists ROUNDS rounds stays together, and
+    Round by round the smallest node of a bucket takes out itself and the nodes most like
+    it. What shrinks to SMALL nodes is paired; what resists ROUNDS rounds stays together, and
     the exact verification of its group decides.
     """
-    spark = members.sparkSession
-    out = spark.createDataFrame([], "u bigint, v bigint")
+    out = members.sparkSession.createDataFrame([], "u bigint, v bigint")
     left = cut(members.distinct())
     for _ in range(ROUNDS):
         if left.isEmpty():
             return out
-        centres = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
-        star = left.join(centres, "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u")
-        star = cut(sketch_filter(star, one, threshold, ["bucket", "u", "v"]))
-        out = out.union(star.where("like").select("u", "v"))
-        rest = star.where("not like").select("bucket", F.col("v").alias("node"))
+        edges, rest = strip(left, one)
         small, left = split_by_size(rest)
-        pairs = sketch_filter(small_pairs(small), one, threshold, ["u", "v"])
-        out = out.union(pairs.where("like").select("u", "v"))
+        out = out.union(edges).union(sketch_filter(small_pairs(small), one, threshold, ["u", "v"]).select("u", "v"))
         left = cut(left)
     last = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
-    return out.union(left.join(last, "bucket").select("u", F.col("node").alias("v")).where("v > u"))
+    return out.union(left.join(small_side(last), "bucket").select("u", F.col("node").alias("v")).where("v > u"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -172,8 +190,9 @@ def components(edges: DataFrame) -> DataFrame:
 def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root) from the exact comparison of all nodes of each group (node, root)."""
     spark = docs.sparkSession
-    sizes = cut(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
-    placed = groups.join(sizes, "root").join(one.select("node", "doc_id", "set_key", "weight"), "node")
+    sized = cut(groups.join(one.select("node", "doc_id", "set_key", "weight", "size"), "node"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES))
+    placed = sized.join(small_side(cut(sized.groupBy("root").agg(blocks.alias("blocks")))), "root")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     text = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -260,11 +279,12 @@ def compared(held: dict[int, tuple], key: tuple | None, threshold: float) -> lis
     return [(int(ids[k]), int(count[k]), int(ids[label[k]])) for k in range(len(ids)) if count[k]]
 
 
-def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
+def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None, enough: int = 0) -> DataFrame:
     """One row for each document: doc_id, class_id, n_links, set_id.
 
     ``keys`` gives the buckets of each set. ``deeper`` splits buckets of over SMALL nodes
-    and returns new small and large ones. class_id is the smallest doc_id of the documents
+    and returns new small and large ones; only nodes in fewer than ``enough`` buckets that
+    aren't large need it, the others' links are found in these. class_id is the smallest doc_id of the documents
     that links connect, set_id of those with the same set; n_links counts the other
     documents at ``threshold`` or above. Null or empty texts, and texts without a word,
     have no links and their own class; rows that repeat a doc_id each get a row.
@@ -272,12 +292,17 @@ def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[Dat
     everyone, one = nodes(docs, keys)
     members = one.select("node", F.explode(F.array_distinct("keys")).alias("bucket"))
     small, large = split_by_size(members)
+    edges = one.sparkSession.createDataFrame([], "u bigint, v bigint")
     if deeper is not None:
         large = cut(large)
-        more, large = deeper(large, one)
-        small = small.unionByName(more)
-    near = sketch_filter(small_pairs(small), one, threshold, ["u", "v"]).where("like").select("u", "v")
-    edges = near.union(large_pairs(large, one, threshold))
+        full = large.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        rare = cut(one.join(full, "node").where(F.size(F.array_distinct("keys")) - F.col("n") < enough).select("node"))
+        edges, rest = strip(cut(large.join(rare, "node")), one)  # groups of near copies needn't be split further
+        fewer, large = split_by_size(by_size(rest, one, threshold))
+        more, large = deeper(cut(large), one)
+        small = small.unionByName(fewer).unionByName(more)
+    near = sketch_filter(small_pairs(small), one, threshold, ["u", "v"]).select("u", "v")
+    edges = edges.union(near).union(large_pairs(large, one, threshold))
     groups = cut(components(edges))
     exact = cut(verified(groups, docs, one, threshold))
     counts = exact.groupBy("node").agg(F.sum("links").alias("links"))

@@ -48,6 +48,15 @@ def cut(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 
 
+#: Most rows of a table of a few numbers each (about 3 MB) that is broadcast.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A materialised table of keys and numbers, broadcast if it was counted to be small, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for a table that a later step reads."""
     return f"{shared_folder(spark)}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
