@@ -39,8 +39,8 @@ SKETCH = 64
 SLACK = 0.25
 #: In a large bucket, a node this much like the smallest leaves with it; one half as like it is still joined to its group,
 #: since it may be at the threshold to a node that left.
-LEAVES, JOINS = 0.55, 0.3
-ROUNDS = 4
+LEAVES, JOINS = 0.45, 0.25
+ROUNDS = 2
 
 Keys = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 
@@ -165,25 +165,32 @@ def large_pairs(members: DataFrame, one: DataFrame, threshold: float) -> DataFra
     return out.union(left.join(small_side(last), "bucket").select("u", F.col("node").alias("v")).where("v > u"))
 
 
+def packed(df: DataFrame, few: int) -> DataFrame:
+    """``df`` materialised in ``few`` partitions if that is fewer than a shuffle makes."""
+    return cut(df.coalesce(few) if few < parts(df.sparkSession) else df)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge: root is the smallest node that it is connected with.
 
     Alternating large and small stars; rounds grow with the logarithm of the longest path.
     """
     now = cut(edges.select("u", "v").where("u <> v").distinct())
-    before = None
-    while True:
+    n = now.count()
+    few = max(1, n // 20_000)  # small tables need no more tasks than this
+    if few < parts(now.sparkSession):
+        now = cut(now.coalesce(few))
+    while n:
         both = now.union(now.select("v", "u"))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = cut(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
-        small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        now = cut(small.union(least.select("u", F.col("m").alias("v"))).distinct())
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before:
-            break
-        before = state
+        least = packed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), few)
+        large = both.join(small_side(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        down = packed(large, few)  # u > v throughout
+        least = packed(down.groupBy("u").agg(F.min("v").alias("m")), few)
+        small = down.join(small_side(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        now = packed(small.union(least.select("u", F.col("m").alias("v"))).distinct(), few)
+        single = now.groupBy("u").count().where("count > 1").isEmpty()
+        if single and now.select("v").distinct().join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            break  # each node has one root, and no root has another
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
 
 
