@@ -1,2 +1,8 @@
-QUERIES = {}
-ORACLES = {}
+"""All queries of the library by name, and DuckDB SQL with the same result."""
+
+from __future__ import annotations
+
+from corpusloom.operators import corpus_queries, review_queries
+
+QUERIES = corpus_queries.QUERIES | review_queries.QUERIES
+ORACLES = corpus_queries.ORACLES | review_queries.ORACLES
