@@ -28,7 +28,8 @@ def materialised(df: DataFrame) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, key: str, width: int = 5) -> DataFrame:
     """(key, s): the distinct shingles of each text as 64-bit hashes."""
-    return docs.select(key, F.explode(F.transform(X.shingles(X.tokens(F.col("text")), width), lambda s: F.xxhash64(s))).alias("s")).distinct()
+    worded = docs.select(key, X.tokens(F.col("text")).alias("w"))  # a projection of its own: the words are needed in each step of a lambda
+    return worded.select(key, F.explode(F.transform(X.shingles(F.col("w"), width), lambda s: F.xxhash64(s))).alias("s")).distinct()
 
 
 def jaccard_pairs(docs: DataFrame, key: str = "doc_id", threshold: float = 0.9, width: int = 5) -> DataFrame:
@@ -66,7 +67,8 @@ def bands_for(threshold: float, permutations: int = 128) -> tuple[int, int]:
 
 def lsh_pairs(docs: DataFrame, key: str = "doc_id", threshold: float = 0.9, bands: int = 9, rows: int = 13, width: int = 5) -> DataFrame:
     """As ``jaccard_pairs`` with MinHash bands as candidates: fewer candidates, pairs near the threshold may be missed."""
-    sets = docs.select(F.col(key).alias("id"), F.transform(X.shingles(X.tokens(F.col("text")), width), lambda s: F.xxhash64(s)).alias("set")).where("size(set) > 0")
+    worded = docs.select(F.col(key).alias("id"), X.tokens(F.col("text")).alias("w"))
+    sets = worded.select("id", F.transform(X.shingles(F.col("w"), width), lambda s: F.xxhash64(s)).alias("set")).where("size(w) >= 5")
     draw = np.random.default_rng(1)
     odd = draw.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
