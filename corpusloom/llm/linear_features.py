@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import SPACE, U, buffers, mix, words
-from corpusloom.llm.runtime import cut, whole_number
+from corpusloom.llm.runtime import cut, small_side, whole_number
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
@@ -27,7 +27,7 @@ def sample(rows: DataFrame, label: str, most: int) -> DataFrame:
     """
     counts = cut(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_all")))
     share = (F.lit(2.0 * most + 40) / F.col("_all")) * F.lit(2.0**64) - F.lit(2.0**63)
-    near = rows.withColumn("_hash", F.xxhash64("doc_id", "text")).join(counts, label).where(F.col("_hash").cast("double") <= share)
+    near = rows.withColumn("_hash", F.xxhash64("doc_id", "text")).join(small_side(counts), label).where(F.col("_hash").cast("double") <= share)
     order = Window.partitionBy(label).orderBy("_hash", "doc_id", "text")
     return near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n", "_hash", "_all")
 
