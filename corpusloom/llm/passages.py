@@ -1,0 +1,223 @@
+"""Operator 2 for passages: every repeated run of PASSAGE words, wherever in a line it begins or ends.
+
+Windows of PASSAGE words are compared, without a row for each. The smallest hash of the
+GRAM-word runs inside a window depends on its words alone, so equal windows have equal ones.
+Neighbouring windows with the same smallest run are one segment. A segment that equals an
+earlier one goes as a whole. Of distinct segments with an equal smallest run, the first copies are
+opened, and their windows are compared one by one. Both steps together remove
+what comparing all windows would; a test holds them against that.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusloom.llm.blocks import U, buffers, mix, slices, words
+from corpusloom.llm.runtime import cut, documents, parts, whole_number
+from corpusloom.llm.substrings import normal
+from corpusloom.llm.units import span_text
+
+PASSAGE = 50
+GRAM = 20
+#: Multipliers of the hashes of short runs, segments and windows.
+RUN, SEGMENT, WINDOW = 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1342543DE82EF95
+WORD = re.compile(r"\S+")
+
+
+class Rolling:
+    """Hashes of any runs of words, by prefix sums of a polynomial modulo 2**64."""
+
+    def __init__(self, hashes: np.ndarray, base: int):
+        n = len(hashes)
+        self.back = self.powers(pow(base, -1, 1 << 64), n)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * self.powers(base, n), dtype=np.uint64)])
+
+    @staticmethod
+    def powers(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, dtype=np.uint64)
+        out[:1] = U(1)
+        return np.multiply.accumulate(out)
+
+    def runs(self, begin: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return mix((self.sums[begin + length] - self.sums[begin]) * self.back[begin])
+
+
+def smallest(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest of every ``width`` neighbouring values, and the last place where it is."""
+    place, length = np.arange(len(values)), 1
+    while length < width:
+        step = min(length, width - length)
+        take = values[step:] <= values[: len(values) - step]
+        values = np.where(take, values[step:], values[: len(values) - step])
+        place = np.where(take, place[step:], place[: len(place) - step])
+        length += step
+    return values, place
+
+
+def segments(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, first window (from 0 in its row), windows, smallest run and hash of every segment."""
+    if len(hashes) < PASSAGE:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    least, place = smallest(Rolling(hashes, RUN).runs(np.arange(len(hashes) - GRAM + 1), GRAM), PASSAGE - GRAM + 1)
+    inside = np.flatnonzero(owner[: len(least)] == owner[PASSAGE - 1 :])
+    if not len(inside):
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    new = np.ones(len(inside), dtype=bool)
+    new[1:] = (place[inside[1:]] != place[inside[:-1]]) | (owner[inside[1:]] != owner[inside[:-1]])
+    at = np.flatnonzero(new)
+    count = np.diff(np.append(at, len(inside)))
+    begin = inside[at]
+    marks = mix(Rolling(hashes, SEGMENT).runs(begin, count + PASSAGE - 1) ^ count.astype(np.uint64))
+    return owner[begin], begin - rows[owner[begin]], count, least[begin].view(np.int64), marks.view(np.int64)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the texts in the form in which they are compared, and the texts' offsets."""
+    return words(*buffers(pa.array([normal(x) for x in texts], pa.large_string())))
+
+
+def all_segments(docs: DataFrame) -> DataFrame:
+    """One row for each segment of each text: least, mark, doc_id, begin (first window), n (windows)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = buffers(batch.column("text"))
+            ids = np.array(batch.column("doc_id").to_pylist(), dtype=np.int64)
+            for first, last in slices(offsets):
+                row, begin, count, least, mark = segments(*word_hashes(batch.column("text").slice(first, last - first).to_pylist()))
+                for k in range(0, len(row), 50_000):
+                    part = slice(k, k + 50_000)
+                    columns = (least[part], mark[part], ids[first + row[part]], begin[part].astype(np.int32), count[part].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
+
+    return docs.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """``rows`` of equal least, mark that aren't the first by (doc_id, begin); and first ones (``opened``)
+    where a least has several marks. Tasks stream their rows in order and hold one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("least", "mark", "doc_id", "begin", "n")
+        first: tuple = (None,) * 5
+        shared = False  # whether the least of ``first`` has had several marks
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if row[:2] == first[:2]:
+                    if row[2:4] != first[2:4]:
+                        out.append((*row, False))
+                    continue
+                if row[0] != first[0]:
+                    shared = False
+                else:
+                    if not shared:
+                        out.append((*first, True))
+                    shared = True
+                    out.append((*row, True))
+                first = row
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], [*names, "opened"])
+
+    dealt = rows.repartition(parts(rows.sparkSession), "least").sortWithinPartitions("least", "mark", "doc_id", "begin")
+    return dealt.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int, opened boolean")
+
+
+def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The windows of the ``chosen`` segments: least, mark (now of the window), doc_id, begin, n (1)."""
+    lists = cut(chosen.groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n", "least")).alias("chosen")))
+    wide = lists.join(docs, "doc_id").select("doc_id", "chosen", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, chosen, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chosen", "text"))):
+                hashes, _ = word_hashes([text])
+                begin, count, least = (np.array([x[c] for x in chosen], dtype=np.int64) for c in ("begin", "n", "least"))
+                at = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                least = np.repeat(least, count)
+                fits = at + PASSAGE <= len(hashes)
+                at, least = at[fits], least[fits]
+                if len(at):
+                    marks = Rolling(hashes, WINDOW).runs(at, PASSAGE).view(np.int64)
+                    columns = (least, marks, np.full(len(at), doc_id, np.int64), at.astype(np.int32), np.ones(len(at), np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
+
+    return wide.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+
+
+def later_passages(docs: DataFrame) -> DataFrame:
+    """doc_id and runs (begin, n): where the windows begin that equal an earlier one by (doc_id, position)."""
+    rows = docs.where("doc_id is not null").select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = cut(compared(all_segments(rows)))
+    single = compared(opened_windows(rows, found.where("opened"))).where("not opened")
+    later = found.where("not opened").select("doc_id", "begin", "n").unionByName(single.select("doc_id", "begin", "n"))
+    return later.groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n")).alias("runs"))
+
+
+def without_words(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
+    """``text`` without the windows of the given runs, and the spans taken out, in code points."""
+    found = [m.span() for m in WORD.finditer(text)]
+    spans: list[list[int]] = []  # of words
+    for begin, n in sorted(runs):
+        end = min(begin + n - 1 + PASSAGE, len(found))
+        if spans and begin <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], end)
+        elif begin < end:
+            spans.append([begin, end])
+    gone = [(found[a][0], found[b - 1][1]) for a, b in spans]
+    edges = [0, *(x for span in gone for x in span), len(text)]
+    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), gone
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text``, and ``removed``: their spans in the original.
+
+    Words are what blanks separate, equal in NFC and lower case; line feeds are blanks. Every
+    run of PASSAGE words that equals an earlier one, by (doc_id, position), goes, within a text
+    too; the blanks on both sides of a span stay. Null, empty and shorter texts stay as they are; a text
+    may become empty. Rows that repeat a doc_id count as one document and change alike; rows
+    without doc_id aren't changed. An empty table gives an empty result; other columns are kept.
+    """
+    names = [c for c in docs.columns if c != "text"]
+    marks = later_passages(docs).select(F.col("doc_id").alias("_id"), F.col("runs").alias("_runs"))
+    wide = docs.join(marks, F.col("doc_id").cast("bigint") == F.col("_id"), "left").drop("_id")
+    span = T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    schema = wide.select(*names, "text").schema.add("removed", T.ArrayType(span))
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, gone = [], []
+            for text, runs in zip(batch.column("text").to_pylist(), batch.column("_runs").to_pylist()):
+                spent = None
+                if runs and text:
+                    text, spent = without_words(text, [(x["begin"], x["n"]) for x in runs])
+                gone.append([{"begin": a, "end": b} for a, b in spent] if spent is not None else None)
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(texts, batch.schema.field("text").type), pa.array(gone, kind)], [*names, "text", "removed"]
+            )
+
+    return wide.mapInArrow(run, schema)
+
+
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, removed spans, their number and code points, and the cleaned text's length and SHA-256."""
+    done = dedup_passages(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select(
+        "doc_id",
+        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).alias("n_removed"),
+        F.expr("coalesce(aggregate(removed, 0, (n, s) -> n + s.end - s.begin), 0)").alias("chars_removed"),
+        span_text(F.col("removed")).alias("removed_spans"),
+        F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )

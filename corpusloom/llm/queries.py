@@ -9,6 +9,7 @@ from corpusloom.llm.fingerprint import op1_fingerprints
 from corpusloom.llm.languages import op8_language_id
 from corpusloom.llm.line_runs import op4_line_dedup
 from corpusloom.llm.mixing import op7_mixing
+from corpusloom.llm.passages import op2_passage_dedup
 from corpusloom.llm.pieces import op5_sentencepiece
 from corpusloom.llm.quality import op3_quality
 from corpusloom.llm.substrings import op2_substring_dedup
@@ -16,7 +17,7 @@ from corpusloom.llm.substrings import op2_substring_dedup
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece,
+        op1_fingerprints, op2_substring_dedup, op2_passage_dedup, op3_quality, op4_line_dedup, op5_sentencepiece,
         op6_exact_dedup, op7_mixing, op8_language_id, op9_jaccard_join, op10_chat_format,
     )
 }
