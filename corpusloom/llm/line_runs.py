@@ -21,6 +21,8 @@ from corpusloom.llm.units import cut_out, lines, span_text
 
 LEAST_LINES = 2
 LEAST_WORDS = 10
+#: The same floor where short lines are to go too.
+SHORT_WORDS = 5
 
 
 def stripped(line: str) -> str:
@@ -92,9 +94,8 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     return done.select(*docs.columns)
 
 
-def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def report(done: DataFrame) -> DataFrame:
     """doc_id, removed spans and the cleaned text's length and SHA-256."""
-    done = dedup_runs(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select(
         "doc_id",
         F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).alias("n_removed"),
@@ -102,3 +103,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(dedup_runs(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+def op4_short_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op4_line_dedup, but one line counts by itself from SHORT_WORDS words on."""
+    return report(dedup_runs(documents(spark, sf_dir).select("doc_id", "text"), least_words=SHORT_WORDS))

@@ -7,7 +7,7 @@ from corpusloom.llm.chosen_path import op9_jaccard_join
 from corpusloom.llm.exact import op6_exact_dedup
 from corpusloom.llm.fingerprint import op1_fingerprints
 from corpusloom.llm.languages import op8_language_id
-from corpusloom.llm.line_runs import op4_line_dedup
+from corpusloom.llm.line_runs import op4_line_dedup, op4_short_line_dedup
 from corpusloom.llm.mixing import op7_mixing
 from corpusloom.llm.passages import op2_passage_dedup
 from corpusloom.llm.pieces import op5_sentencepiece
@@ -17,7 +17,7 @@ from corpusloom.llm.substrings import op2_substring_dedup
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_fingerprints, op2_substring_dedup, op2_passage_dedup, op3_quality, op4_line_dedup, op5_sentencepiece,
+        op1_fingerprints, op2_substring_dedup, op2_passage_dedup, op3_quality, op4_line_dedup, op4_short_line_dedup, op5_sentencepiece,
         op6_exact_dedup, op7_mixing, op8_language_id, op9_jaccard_join, op10_chat_format,
     )
 }
@@ -75,3 +75,4 @@ SELECT c.doc_id, class_id, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(min(c.d
 FROM classes c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM mutual GROUP BY a) l ON l.a = c.doc_id
 """,
 }
+ORACLES["op4_short_line_dedup"] = ORACLES["op4_line_dedup"].replace(">= 10)", ">= 5)")
