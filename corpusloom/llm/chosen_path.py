@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import links
 from corpusloom.llm.blocks import U, buffers, mix, slices
-from corpusloom.llm.runtime import cut, documents, whole_number
+from corpusloom.llm.runtime import cut, documents
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -106,9 +106,8 @@ def split_further(docs: DataFrame):
     """How ``links.resolve`` splits buckets of the first depth that are too large."""
 
     def deeper(large: DataFrame, one: DataFrame) -> tuple[DataFrame, DataFrame]:
-        texts = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         lists = large.groupBy("node").agg(F.collect_set("bucket").alias("start"))
-        wide = lists.join(one.select("node", "doc_id", "set_key"), "node").join(texts, "doc_id").select("node", "set_key", "start", "text")
+        wide = links.with_text(lists.join(one.select("node", "doc_id", "set_key"), "node"), docs).select("node", "set_key", "start", "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -194,6 +194,22 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
 
 
+def with_text(chosen: DataFrame, docs: DataFrame) -> DataFrame:
+    """``chosen`` (doc_id, set_key and others) with a ``text`` of each: that of its doc_id, or one with its set where doc_id is null."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column("text"))
+            for first, last in slices(offsets):
+                values, rows = unique_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                found = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(rows[:-1], rows[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("text").slice(first, last - first)], ["set_key", "text"])
+
+    texts = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    nameless = texts.where("doc_id is null").select("text").mapInArrow(keyed, "set_key binary, text string").dropDuplicates(["set_key"])
+    return chosen.join(texts, "doc_id").unionByName(chosen.where("doc_id is null").join(nameless, "set_key"))
+
+
 def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root) from the exact comparison of all nodes of each group (node, root)."""
     spark = docs.sparkSession
@@ -201,7 +217,6 @@ def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: floa
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES))
     placed = sized.join(small_side(cut(sized.groupBy("root").agg(blocks.alias("blocks")))), "root")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    text = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +230,7 @@ def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: floa
                 part = rest.slice(first, last - first).append_column("set", pa.array(raw, pa.binary()))
                 yield part.filter(same)
 
-    with_sets = placed.join(text, "doc_id").select("node", "root", "blocks", "own", "weight", "set_key", "text")
+    with_sets = with_text(placed, docs).select("node", "root", "blocks", "own", "weight", "set_key", "text")
     with_sets = with_sets.mapInArrow(sets, "node bigint, root bigint, blocks bigint, own bigint, weight bigint, set binary")
     pair = F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"))))
     dealt = with_sets.withColumn("p", pair).select("node", "own", "weight", "set", "root", "p.i", "p.j")
