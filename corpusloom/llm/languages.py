@@ -148,12 +148,28 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language can't be told: no letter in the text, or ambiguous.
 
-    Rows without doc_id are judged by their text like the others, but one by one they
-    can't be named, so they stay only if every one of them was identified.
+    Each row goes or stays by its own text, also where a doc_id is absent or repeats. Where
+    nothing was learned, no row stays.
     """
-    found = identify(docs, train(docs)).where((F.col("lang_pred") == NONE) | F.col("ambiguous"))
-    bad = found.select("doc_id").distinct()
-    return docs.join(bad.where("doc_id is not null"), "doc_id", "left_anti")
+    model = train(docs)
+    if model is None:
+        return docs.where(F.lit(False))
+    names = docs.columns
+    text = F.coalesce("text", F.lit(""))
+    wide = docs.withColumns({"_text": text, "_letters": text.rlike(r"\p{L}")})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column("_text"))
+            stays = np.array(batch.column("_letters").to_pylist(), dtype=bool)
+            for first, last in slices(offsets, 1 << 19):
+                for begin in range(first, last, 128):
+                    end = min(begin + 128, last)
+                    x = gram_matrix(data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin], ORDERS, BITS)
+                    stays[begin:end] &= decode(model, x)[2] >= AMBIGUOUS
+            yield batch.select(names).filter(pa.array(stays))
+
+    return wide.mapInArrow(run, docs.schema)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
