@@ -59,12 +59,27 @@ def intervals(docs: DataFrame) -> DataFrame:
     return out.select("depth", "doc_id", "pos", "rank", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"), "words")
 
 
+def exact_runs(levels: DataFrame, length: int) -> DataFrame:
+    """As ``intervals``, for runs of ``length`` lines: two overlapping runs of the next lower power of two."""
+    depth = 1 << (length.bit_length() - 1)
+    own = levels.where(F.col("depth") == depth)
+    ahead = own.select("doc_id", (F.col("pos") - (length - depth)).alias("pos"), F.col("rank").alias("then"))
+    both = cut(own.select("doc_id", "pos", "rank", "words").join(ahead, ["doc_id", "pos"]))
+    pairs = both.groupBy("rank", "then").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    named = ordered_ids(pairs, F.col("rank"), F.col("then"), name="next")
+    done = both.join(named, ["rank", "then"]).withColumn("depth", F.lit(length))
+    return done.select("depth", "doc_id", "pos", F.col("next").alias("rank"), F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"), "words")
+
+
 def later_copies(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, positions (lines to delete) and longest (lines of the deepest interval they are in).
 
-    A run counts if it has ``least_lines`` lines, a power of two, or one of ``least_words`` words.
+    A run counts if it has ``least_lines`` lines, or one of ``least_words`` words.
     """
-    copies = intervals(docs).where("doc_id <> first_doc or pos <> first_pos")
+    levels = intervals(docs)
+    if least_lines & (least_lines - 1):
+        levels = levels.unionByName(exact_runs(levels, least_lines))
+    copies = levels.where("doc_id <> first_doc or pos <> first_pos")
     counted = copies.where((F.col("depth") >= least_lines) | (F.col("words") >= least_words))
     covered = counted.select("doc_id", "depth", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("depth") - 1)).alias("pos"))
     return covered.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("positions"), F.max("depth").alias("longest"))

@@ -10,3 +10,11 @@ def test_short_lines(spark):
     assert all(r["removed"] is None for r in line_runs.dedup_runs(docs).collect())
     done = line_runs.dedup_runs(docs, least_words=line_runs.SHORT_WORDS).collect()
     assert Counter(line in r["text"] for r in done) == Counter({True: 1, False: 3})
+
+
+def test_runs_of_three_lines(spark):
+    """Three equal lines go at least_lines = 3, two stay; five go whole."""
+    rows = [(1, "a\nb\nc\nx"), (2, "y\na\nb\nc\nz"), (3, "a\nb\nw"), (4, "k\nl\nm\nn\no"), (5, "v\nk\nl\nm\nn\no")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["positions"], r["longest"]) for r in line_runs.later_copies(docs, 3).collect()}
+    assert found == {2: ([1, 2, 3], 3), 5: ([1, 2, 3, 4, 5], 4)}
