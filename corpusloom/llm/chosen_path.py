@@ -28,9 +28,6 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 RATE = 0.7
 DEPTHS = (1, 3, 6)
-#: First nodes outside of large buckets that suffice for a set. At 0.8 at most a fifth of it is missing from the
-#: other set; were all of that among the 15 of about 31, each would still be shared with probability 0.58.
-ENOUGH = 15
 SALT = U(0x8CB92BA72F3D8DD7)
 
 
@@ -51,6 +48,23 @@ def repeats(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = D
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, depth))))
 
 
+def enough(count: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """First nodes outside of large buckets that suffice for a set in ``count`` repeats.
+
+    A first node of one set misses a set at the threshold if its shingle is absent there or not
+    sampled. At most a share of 1 - threshold is, so the misses are at most close to Poisson; as
+    many as this among them are less likely than 1 - ``recall``.
+    """
+    mean = count * (1 - threshold) / RATE
+    term = total = math.exp(-mean)
+    k = 0
+    while 1 - total > 1 - recall:
+        k += 1
+        term *= mean / k
+        total += term
+    return k + 1
+
+
 def limits(sizes: np.ndarray) -> np.ndarray:
     """Hashes below this sample a shingle of a set of the given size."""
     return np.minimum(2.0**64 / (RATE * np.maximum(sizes, 1)), 2.0**64 - 2048).astype(np.uint64)
@@ -139,8 +153,9 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     reported link is exact; a pair at the threshold is found with probability ``recall``
     or more, equal sets always. An empty table gives an empty result.
     """
-    count = repeats(threshold, recall)
-    return links.resolve(docs, lambda values, rows: roots(values, rows, count), threshold, split_further(docs), ENOUGH)
+    half = 1 - (1 - recall) / 2  # each of the two ways to miss a pair has half of what is allowed
+    count = repeats(threshold, half)
+    return links.resolve(docs, lambda values, rows: roots(values, rows, count), threshold, split_further(docs), enough(count, threshold, half))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

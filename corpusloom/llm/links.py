@@ -3,19 +3,23 @@
 The way is the same for every kind of bucket:
 
 1. Documents with equal shingle sets become one node with a weight.
-2. Nodes that meet in a bucket of at most SMALL nodes are paired; in a larger bucket
-   each node is compared with the smallest one, which then leaves with the nodes that are
-   nearly like it; all that may be like one of these join the same group. Pairs whose
-   sketches rule out the threshold are dropped.
-3. What remains connects nodes to groups. Each node's set goes to its group once, or
-   once for each pair of blocks in a group of over BLOCK nodes or BLOCK_SHINGLES shingles, and all pairs of a group
-   are verified exactly by a matrix product of incidence. No pair leaves the task: only
-   counts and a spanning forest do.
-
-Aggregates are materialised before they are joined, since Spark splits the join of a
+2. Nodes of a bucket of at most SMALL nodes are paired, and pairs whose sketches rule out
+   the threshold are dropped. What passes is a tight edge.
+3. In a larger bucket every node is compared with the smallest one, the centre. Those very
+   like it (``leaves``) are joined to it and leave the bucket with it. By the triangle
+   inequality of sketches, whatever is tight to one that leaves is at least ``joins`` like
+   the centre; such nodes are compared with all that leave, and stay in the bucket too. So no
+   tight pair is lost. What stays large is compared block by block.
+4. All nodes of a connected group of tight edges are verified exactly by a matrix product of
+   incidence: a node's set goes to its group once for each other block in a group of over
+   BLOCK nodes or BLOCK_SHINGLES shingles.
+
+No step emits pairs of a large group: tasks give spanning forests, counts and edges to a
+centre. Aggregates are materialised before they are joined, since Spark splits the join of a
 very common key only between two plain shuffles.
 
-Nothing is capped: every pair that met in any bucket and passed the sketch is verified.
+A pair at the threshold that meets in a bucket is missed only if its sketches differ from
+it by five standard deviations (SLACK), about three in ten million.
 """
 
 from __future__ import annotations
@@ -29,18 +33,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import MinHash, U, buffers, mix, shingles, slices, words
-from corpusloom.llm.runtime import cut, parts, small_side, whole_number
+from corpusloom.llm.runtime import BROADCAST_ROWS, cut, parts, small_side, whole_number
 
 SMALL = 32
-BLOCK = 1024
-BLOCK_SHINGLES = 2_000_000
+BLOCK = 512
+BLOCK_SHINGLES = 400_000
 SKETCH = 64
 #: Less than the threshold by more than this in shares of equal sketch values rules out the threshold: five standard deviations.
 SLACK = 0.25
-#: In a large bucket, a node this much like the smallest leaves with it; one half as like it is still joined to its group,
-#: since it may be at the threshold to a node that left.
-LEAVES, JOINS = 0.45, 0.25
+#: In a large bucket, a node that shares this much of the centre's sketch leaves with it.
+LEAVES = 0.75
 ROUNDS = 2
+#: Most sketches (SKETCH bytes each) that are broadcast.
+SKETCH_ROWS = 50_000
+
+
+def tight(threshold: float) -> float:
+    """The least share of equal sketch values that leaves ``threshold`` possible."""
+    return int(np.floor((threshold - SLACK) * SKETCH)) / SKETCH
+
+
+def joins(threshold: float) -> float:
+    """The least share with the centre of whatever is tight to one that leaves with it."""
+    return max(0.0, LEAVES + tight(threshold) - 1)
+
 
 Keys = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 
@@ -109,21 +125,28 @@ def small_pairs(members: DataFrame) -> DataFrame:
     return first.select("u", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("v")).where("u < v").distinct()
 
 
-def sketch_filter(pairs: DataFrame, one: DataFrame, threshold: float | None, kept: list[str]) -> DataFrame:
-    """``pairs`` with ``same``, the share of equal sketch values; only those that leave ``threshold`` possible if it is given."""
-    least = int(np.floor((threshold - SLACK) * SKETCH)) if threshold else 0
-    a = one.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
-    b = one.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
+def equal_values(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """How many sketch values are equal, for each row."""
+    a, b = (buffers(c.cast(pa.large_binary()))[0].reshape(-1, SKETCH) for c in (x, y))
+    return (a == b).sum(axis=1)
+
+
+def scored(pairs: DataFrame, one: DataFrame, least: float) -> DataFrame:
+    """``pairs`` (u, v) with ``same``, the share of equal sketch values, where that is ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (buffers(batch.column(c).cast(pa.large_binary()).fill_null(b""))[0].reshape(-1, SKETCH) for c in ("a", "b"))
-            same = (x == y).sum(axis=1)
-            columns = [*(batch.column(c) for c in kept), pa.array(same / SKETCH)]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "same"]).filter(pa.array(same >= least))
+            same = equal_values(batch.column("a"), batch.column("b")) / SKETCH
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(same)], ["u", "v", "same"]).filter(pa.array(same >= least))
+
+    a = one.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
+    b = one.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint, same double")
+
 
-    wide = pairs.join(a, "u").join(b, "v").select(*kept, "a", "b")
-    return wide.mapInArrow(run, ", ".join(f"{c} bigint" for c in kept) + ", same double")
+def tight_pairs(small: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """The tight edges (u, v) in buckets of at most SMALL nodes."""
+    return scored(small_pairs(small), one, tight(threshold)).select("u", "v")
 
 
 def by_size(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
@@ -137,32 +160,148 @@ def by_size(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     return sized.select(F.explode(F.array(own, own + 1)).alias("class"), "bucket", "node").select(F.xxhash64("bucket", "class").alias("bucket"), "node")
 
 
-def strip(left: DataFrame, one: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One round over buckets (bucket, node): edges (u, v) to each one's smallest node, and what stays in the buckets."""
+def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """One round over buckets (bucket, node): tight edges (u, v) of what leaves, and the buckets without it."""
     centres = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
-    star = left.join(small_side(centres), "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u")
-    star = cut(sketch_filter(star, one, None, ["bucket", "u", "v"]))
-    return star.where(F.col("same") >= JOINS).select("u", "v"), star.where(F.col("same") < LEAVES).select("bucket", F.col("v").alias("node"))
+    star = cut(left.join(small_side(centres), "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u"))
+    hubs = cut(centres.select("u").distinct().join(one.select(F.col("node").alias("u"), "sketch"), "u"))
+    few = hubs if hubs.count() > SKETCH_ROWS else F.broadcast(hubs)
+    own = star.select("u", "v").distinct().join(few, "u").withColumnRenamed("sketch", "a")
+    own = own.join(one.select(F.col("node").alias("v"), F.col("sketch").alias("b")), "v").select("u", "v", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = equal_values(batch.column("a"), batch.column("b")) / SKETCH
+            out = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(same)], ["u", "v", "same"])
+            yield out.filter(pa.array(same >= joins(threshold)))
+
+    alike = cut(own.mapInArrow(run, "u bigint, v bigint, same double"))
+    gone = alike.where(F.col("same") >= LEAVES).select("u", "v")
+    edges = alike.where(F.col("same") >= tight(threshold)).select("u", "v")
+    edges = edges.union(beside(gone, alike.where(F.col("same") < tight(threshold)).select("u", "v"), one, threshold))
+    rest = star.join(gone, ["u", "v"], "left_anti").select("bucket", F.col("v").alias("node"))
+    return edges, rest
+
+
+def beside(gone: DataFrame, others: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Edges (u, v) of the ``others`` (u, v) that are tight to one of ``gone`` (u, v) with the same centre u."""
+    many = gone.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    sizes = cut(many.join(others.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / (8 * BLOCK)).alias("shares")), "u"))
+
+    def numbers(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
 
+    def own(n: str) -> F.Column:
+        return F.pmod(F.xxhash64("v"), F.col(n))
 
-def large_pairs(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that connect what may be alike in buckets of over SMALL nodes, without all pairs.
+    both = [
+        gone.join(small_side(sizes), "u").select("u", "v", own("blocks").alias("i"), numbers("shares").alias("j"), F.lit(0).alias("side")),
+        others.join(small_side(sizes), "u").select("u", "v", numbers("blocks").alias("i"), own("shares").alias("j"), F.lit(1).alias("side")),
+    ]
+    dealt = both[0].union(both[1]).join(one.select(F.col("node").alias("v"), "sketch"), "v").select("u", "i", "j", "side", "v", "sketch")
+    least = round(tight(threshold) * SKETCH)
 
-    Round by round the smallest node of a bucket takes out itself and the nodes most like
-    it. What shrinks to SMALL nodes is paired; what resists ROUNDS rounds stays together, and
-    the exact verification of its group decides.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for u, i, j, side, v, sketch in zip(*(batch.column(c).to_pylist() for c in ("u", "i", "j", "side", "v", "sketch"))):
+                if (u, i, j) != key:
+                    key, held = (u, i, j), []
+                mark = np.frombuffer(sketch, np.uint8)
+                if not side:
+                    held.append(mark)
+                    continue
+                if isinstance(held, list):
+                    held = np.array(held, dtype=np.uint8).reshape(-1, SKETCH)
+                if ((held == mark).sum(axis=1) >= least).any():
+                    found.append((u, v))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
+
+    n = parts(one.sparkSession)
+    return dealt.repartition(n, "u", "i", "j").sortWithinPartitions("u", "i", "j", "side").mapInArrow(run, "u bigint, v bigint")
+
+
+def block_edges(left: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Edges (u, v) that connect what is tight in large buckets: a spanning forest for each pair of blocks."""
+    sizes = cut(left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
+    placed = left.join(small_side(sizes), "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = placed.withColumn("p", block_pairs()).select("bucket", "p.i", "p.j", "node", "own").join(one.select("node", "sketch"), "node")
+    least = round(tight(threshold) * SKETCH)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for bucket, i, j, node, own, sketch in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "own", "sketch"))):
+                if (bucket, i, j) != key:
+                    found += forest(held, least)
+                    key, held = (bucket, i, j), []
+                held.append((node, sketch))
+            if found:
+                yield table(found)
+        if found := forest(held, least):
+            yield table(found)
+
+    def table(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        a, b = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
+
+    n = parts(one.sparkSession)
+    return dealt.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "u bigint, v bigint")
+
+
+def block_pairs() -> F.Column:
+    """The pairs of blocks (i, j), i <= j, that a row of the block ``own`` of ``blocks`` takes part in."""
+    pairs = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
+    return F.explode(pairs)
+
+
+def smallest_linked(linked: np.ndarray) -> np.ndarray:
+    """The smallest index that each index is connected with in a symmetric matrix of links."""
+    n = len(linked)
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        for begin in range(0, n, 256):
+            new[begin : begin + 256] = np.minimum(label[begin : begin + 256], np.where(linked[begin : begin + 256], label, n).min(axis=1))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def forest(held: list[tuple[int, bytes]], least: int) -> list[tuple[int, int]]:
+    """Edges (smallest node, node) that connect the nodes of two blocks whose sketches share ``least`` values."""
+    if len(held) < 2:
+        return []
+    held = sorted(held)
+    marks = np.frombuffer(b"".join(x[1] for x in held), np.uint8).reshape(-1, SKETCH)
+    same = np.zeros((len(held), len(held)), dtype=np.uint8)
+    for k in range(SKETCH):
+        same += marks[:, k, None] == marks[None, :, k]
+    label = smallest_linked(same >= least)
+    return [(held[a][0], held[k][0]) for k, a in enumerate(label.tolist()) if a != k]
+
+
+def large_edges(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Tight edges in buckets of over SMALL nodes.
+
+    Round by round the smallest node of a bucket takes out itself and the nodes very like it.
+    What shrinks to SMALL nodes is paired, what resists ROUNDS rounds is compared in blocks.
     """
     out = members.sparkSession.createDataFrame([], "u bigint, v bigint")
     left = cut(members.distinct())
     for _ in range(ROUNDS):
         if left.isEmpty():
             return out
-        edges, rest = strip(left, one)
+        edges, rest = strip(left, one, threshold)
         small, left = split_by_size(rest)
-        out = out.union(edges).union(sketch_filter(small_pairs(small), one, threshold, ["u", "v"]).select("u", "v"))
+        out = out.union(edges).union(tight_pairs(small, one, threshold))
         left = cut(left)
-    last = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
-    return out.union(left.join(small_side(last), "bucket").select("u", F.col("node").alias("v")).where("v > u"))
+    return out if left.isEmpty() else out.union(block_edges(left, one, threshold))
 
 
 def packed(df: DataFrame, few: int) -> DataFrame:
@@ -205,7 +344,11 @@ def with_text(chosen: DataFrame, docs: DataFrame) -> DataFrame:
                 found = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(rows[:-1], rows[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("text").slice(first, last - first)], ["set_key", "text"])
 
+    chosen = cut(chosen)
     texts = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    ids = cut(chosen.where("doc_id is not null").select("doc_id").distinct())
+    if ids.count() <= BROADCAST_ROWS:  # then the other texts needn't move
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
     nameless = texts.where("doc_id is null").select("text").mapInArrow(keyed, "set_key binary, text string").dropDuplicates(["set_key"])
     return chosen.join(texts, "doc_id").unionByName(chosen.where("doc_id is null").join(nameless, "set_key"))
 
@@ -232,8 +375,7 @@ def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: floa
 
     with_sets = with_text(placed, docs).select("node", "root", "blocks", "own", "weight", "set_key", "text")
     with_sets = with_sets.mapInArrow(sets, "node bigint, root bigint, blocks bigint, own bigint, weight bigint, set binary")
-    pair = F.explode(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j"))))
-    dealt = with_sets.withColumn("p", pair).select("node", "own", "weight", "set", "root", "p.i", "p.j")
+    dealt = with_sets.withColumn("p", block_pairs()).select("node", "own", "weight", "set", "root", "p.i", "p.j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple] = {}
@@ -278,8 +420,8 @@ def compared(held: dict[int, tuple], key: tuple | None, threshold: float) -> lis
     row, column = row[keep], renamed[place[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    common = np.zeros((len(sets), len(sets)))
-    width, total = 4096, int(shared.sum())
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)  # whole numbers below 2**24 are exact
+    width, total = 2048, int(shared.sum())
     for begin in range(0, total, width):
         a, b = np.searchsorted(column, [begin, begin + width])
         part = np.zeros((len(sets), min(width, total - begin)), dtype=np.float32)
@@ -290,13 +432,7 @@ def compared(held: dict[int, tuple], key: tuple | None, threshold: float) -> lis
     _, i, j = key
     if i != j:
         linked &= own[:, None] != own[None, :]
-    label = np.arange(len(ids))
-    while True:
-        new = np.minimum(label, np.where(linked, label[None, :], len(ids)).min(axis=1))
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
+    label = smallest_linked(linked)
     count = (linked @ weight).astype(np.int64)
     return [(int(ids[k]), int(count[k]), int(ids[label[k]])) for k in range(len(ids)) if count[k]]
 
@@ -319,12 +455,11 @@ def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[Dat
         large = cut(large)
         full = large.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
         rare = cut(one.join(full, "node").where(F.size(F.array_distinct("keys")) - F.col("n") < enough).select("node"))
-        edges, rest = strip(cut(large.join(rare, "node")), one)  # groups of near copies needn't be split further
+        edges, rest = strip(cut(large.join(rare, "node")), one, threshold)  # groups of near copies needn't be split further
         fewer, large = split_by_size(by_size(rest, one, threshold))
         more, large = deeper(cut(large), one)
         small = small.unionByName(fewer).unionByName(more)
-    near = sketch_filter(small_pairs(small), one, threshold, ["u", "v"]).select("u", "v")
-    edges = edges.union(near).union(large_pairs(large, one, threshold))
+    edges = edges.union(tight_pairs(small, one, threshold)).union(large_edges(large, one, threshold))
     groups = cut(components(edges))
     exact = cut(verified(groups, docs, one, threshold))
     counts = exact.groupBy("node").agg(F.sum("links").alias("links"))
