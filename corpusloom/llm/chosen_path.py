@@ -139,6 +139,8 @@ def split_further(docs: DataFrame):
 
         paths = cut(wide.mapInArrow(run, "node bigint, middle bigint, last bigint").distinct())
         small, large = links.split_by_size(paths.select("node", F.col("middle").alias("bucket")).distinct())
+        if large.isEmpty():
+            return small, large
         rest = large.select("node", F.col("bucket").alias("middle")).join(paths.where("last is not null"), ["node", "middle"])
         more, large = links.split_by_size(rest.select("node", F.col("last").alias("bucket")).distinct())
         return small.unionByName(more), large

@@ -6,124 +6,147 @@ the order of the pair (rank by n here, rank by n at n lines further on). Pairs a
 by a distributed range sort, so no task holds all suffixes of a common line. A suffix whose
 prefix is unique, or runs into the end or a unique line, is done and leaves.
 
-Suffixes of equal rank at a level are an interval of the suffix array with a common prefix
-of that many lines. In each interval the earliest copy stays; the prefixes of the later
-ones are deleted. Their union is the union of all maximal repeated runs' later copies.
+Suffixes of equal rank are an interval of the suffix array with a common prefix of that many
+lines. The intervals are then refined from the deepest level down to single lines, which gives
+each suffix its longest common prefix with any earlier one: the maximal repeated run that
+begins there. Each suffix is one row throughout, however long its run is. Of the runs of a
+document, those that end where an earlier one ends are parts of it; the others are deleted
+if they have LEAST_WORDS words. So the earliest copy of each run stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, documents, ordered_ids
-from corpusloom.llm.units import cut_out, lines, span_text
+from corpusloom.llm.runtime import cut, documents, ordered_ids, small_side, unpacked
+from corpusloom.llm.units import cut_out, lines, report, spans, with_spans, without
 
-LEAST_LINES = 2
-LEAST_WORDS = 10
-#: The same floor where short lines are to go too.
-SHORT_WORDS = 5
+#: Words of the shortest run that counts, whatever the number of its lines.
+LEAST_WORDS = 5
 
 
 def stripped(line: str) -> str:
     return line.strip()
 
 
-def ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """``pairs`` (distinct keys and first copy) with a bigint ``rank`` in the order of the keys."""
-    return ordered_ids(pairs, *(F.col(k) for k in keys), name="rank")
-
-
-def intervals(docs: DataFrame) -> DataFrame:
-    """The intervals of the suffix array: (depth, doc_id, pos, rank, first_doc, first_pos).
-
-    One row for each suffix and level at which another suffix shares its first ``depth``
-    lines; first_* is the earliest of them by (doc_id, pos). Also ``words``: of the first line.
-    """
-    all_lines = cut(lines(docs, stripped).dropDuplicates(["doc_id", "pos"]))
+def levels(docs: DataFrame) -> list[tuple[DataFrame, int]]:
+    """The intervals by depth 1, 2, 4 ... and their number of rows: (doc_id, pos, rank, first), one row for each suffix
+    that another one shares so many lines with; first (doc_id, pos) is the earliest of them."""
+    all_lines = cut(lines(docs, stripped).drop("words").dropDuplicates(["doc_id", "pos"]))
     least = F.min(F.struct("doc_id", "pos")).alias("first")
-    ids = ranked(all_lines.groupBy("digest").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), ["digest"])
-    level = cut(all_lines.join(ids, "digest").select("doc_id", "pos", "rank", "first", "words"))
+    ids = ordered_ids(all_lines.groupBy("digest").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), F.col("digest"), name="rank")
+    level = cut(all_lines.join(ids, "digest").select("doc_id", "pos", "rank", "first"))
     depth, found = 1, []
-    while not level.isEmpty():
-        found.append(level.withColumn("depth", F.lit(depth)))
-        ahead = level.select("doc_id", (F.col("pos") - depth).alias("pos"), F.col("rank").alias("then"))
-        both = level.drop("first").join(ahead, ["doc_id", "pos"])
+    while rows := level.count():
+        found.append((level, rows))
+        ahead = small_side(level.select("doc_id", (F.col("pos") - depth).alias("pos"), F.col("rank").alias("then")), rows)
+        both = cut(level.drop("first").join(ahead, ["doc_id", "pos"]))
         pairs = both.groupBy("rank", "then").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        named = ordered_ids(pairs, F.col("rank"), F.col("then"), name="next")
-        level = cut(both.join(named, ["rank", "then"]).select("doc_id", "pos", F.col("next").alias("rank"), "first", "words"))
+        named = small_side(ordered_ids(pairs, F.col("rank"), F.col("then"), name="next"), rows)
+        level = cut(both.join(named, ["rank", "then"]).select("doc_id", "pos", F.col("next").alias("rank"), "first"))
         depth *= 2
-    out = found[0] if found else level.withColumn("depth", F.lit(1))
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.select("depth", "doc_id", "pos", "rank", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"), "words")
+    return found
 
 
-def exact_runs(levels: DataFrame, length: int) -> DataFrame:
-    """As ``intervals``, for runs of ``length`` lines: two overlapping runs of the next lower power of two."""
-    depth = 1 << (length.bit_length() - 1)
-    own = levels.where(F.col("depth") == depth)
-    ahead = own.select("doc_id", (F.col("pos") - (length - depth)).alias("pos"), F.col("rank").alias("then"))
-    both = cut(own.select("doc_id", "pos", "rank", "words").join(ahead, ["doc_id", "pos"]))
-    pairs = both.groupBy("rank", "then").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    named = ordered_ids(pairs, F.col("rank"), F.col("then"), name="next")
-    done = both.join(named, ["rank", "then"]).withColumn("depth", F.lit(length))
-    return done.select("depth", "doc_id", "pos", F.col("next").alias("rank"), F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"), "words")
+def longest_earlier(found: list[tuple[DataFrame, int]]) -> DataFrame | None:
+    """(doc_id, pos, n, src_doc, src_pos): for every suffix whose first line came before, the most lines that it
+    shares with an earlier suffix, and the earliest suffix that shares them. None if no line repeats.
 
+    A problem (src, n) is a set of suffixes that share n lines and of which no two share n + 2 ** level;
+    src is its earliest. At each level its members are told apart by the rank of the lines from n on:
+    those that aren't the earliest of equal ones have found a longer run and go on among these; the
+    earliest ones go on among themselves. So each suffix is in one problem at a time.
+    """
+    now: DataFrame | None = None
+    for level in reversed(range(len(found))):
+        depth = 1 << level
+        later = found[level][0].where("doc_id <> first.doc_id or pos <> first.pos")
+        fresh = later.select("doc_id", "pos", F.lit(depth).alias("n"), F.col("first.doc_id").alias("src_doc"), F.col("first.pos").alias("src_pos"))
+        if level + 1 < len(found):
+            deeper = found[level + 1][0].where("doc_id <> first.doc_id or pos <> first.pos").select("doc_id", "pos")
+            fresh = fresh.join(small_side(deeper, found[level + 1][1]), ["doc_id", "pos"], "left_anti")
+        now = fresh if now is None else now.unionByName(fresh)
+        if level:
+            now = split(cut(now), found[level][1], *found[level - 1], depth // 2)
+    return now
+
+
+def split(now: DataFrame, most: int, ranks: DataFrame, rows: int, step: int) -> DataFrame:
+    """One level of ``longest_earlier`` over at most ``most`` suffixes: ``ranks``, of so many ``rows``, are those by ``step`` lines."""
+    src = ["src_doc", "src_pos", "n"]
+    heads = now.select(F.col("src_doc").alias("doc_id"), F.col("src_pos").alias("pos"), *src).distinct()
+    there = small_side(ranks.select("doc_id", F.col("pos").alias("at"), "rank"), rows)
+    every = now.select("doc_id", "pos", *src).unionByName(heads.select("doc_id", "pos", *src)).withColumn("at", F.col("pos") + F.col("n"))
+    every = cut(every.join(there, ["doc_id", "at"], "left").drop("at"))
+    groups = every.where("rank is not null").groupBy(*src, "rank").agg(F.min(F.struct("doc_id", "pos")).alias("head"), F.count(F.lit(1)).alias("members"))
+    named = small_side(cut(groups.where("members > 1").drop("members")), most)
+    joined = every.where("doc_id <> src_doc or pos <> src_pos").join(named, [*src, "rank"], "left")
+    on = F.col("head").isNotNull() & ((F.col("doc_id") != F.col("head.doc_id")) | (F.col("pos") != F.col("head.pos")))
+    return joined.select(
+        "doc_id", "pos", F.when(on, F.col("n") + step).otherwise(F.col("n")).alias("n"),
+        F.when(on, F.col("head.doc_id")).otherwise(F.col("src_doc")).alias("src_doc"), F.when(on, F.col("head.pos")).otherwise(F.col("src_pos")).alias("src_pos"),
+    )
 
-def later_copies(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, positions (lines to delete) and longest (lines of the deepest interval they are in).
 
-    A run counts if it has ``least_lines`` lines, or one of ``least_words`` words.
-    """
-    levels = intervals(docs)
-    if least_lines & (least_lines - 1):
-        levels = levels.unionByName(exact_runs(levels, least_lines))
-    copies = levels.where("doc_id <> first_doc or pos <> first_pos")
-    counted = copies.where((F.col("depth") >= least_lines) | (F.col("words") >= least_words))
-    covered = counted.select("doc_id", "depth", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("depth") - 1)).alias("pos"))
-    return covered.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("positions"), F.max("depth").alias("longest"))
+def later_copies(docs: DataFrame) -> DataFrame:
+    """doc_id and marks: pos and n (lines) of the runs in each document that came before."""
+    found = longest_earlier(levels(docs))
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, marks array<struct<pos: int, n: int>>")
+    return found.groupBy("doc_id").agg(F.collect_list(F.struct("pos", F.col("n").cast("int").alias("n"))).alias("marks"))
+
+
+def without_runs(least_words: int) -> Callable[[str, list], tuple[str, list[tuple[int, int]]]]:
+    """How the runs of ``later_copies`` are cut out of a text."""
 
+    def remove(text: str, marks: list) -> tuple[str, list[tuple[int, int]]]:
+        words = [len(line.split()) for _, _, line in spans(text)]
+        dropped: set[int] = set()
+        end = 0
+        for pos, n in sorted((x["pos"], x["n"]) for x in marks):
+            if pos + n > end:  # not a part of the run before
+                end = min(pos + n, len(words))
+                if sum(words[pos:end]) >= least_words:
+                    dropped.update(range(pos, end))
+        return without(text, dropped)
 
-def dedup_runs(docs: DataFrame, least_lines: int = LEAST_LINES, least_words: int = LEAST_WORDS) -> DataFrame:
+    return remove
+
+
+def cleaned(docs: DataFrame, least_words: int) -> DataFrame:
+    return cut_out(docs, later_copies(docs.where("doc_id is not null")), without_runs(least_words))
+
+
+def dedup_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated line runs cut from ``text``, and ``removed``: their spans.
 
     Lines are equal if they are without blanks at their ends; blank lines neither count nor
-    break a run. The earliest copy by (doc_id, position) stays, within a text too. Null and
-    empty texts stay as they are; a text may become empty. Rows that repeat a doc_id count as
+    break a run. A run counts from ``least_words`` words on, in one line or many. The earliest
+    copy by (doc_id, position) stays, within a text too. Null and empty texts stay as they are; a text
+    may become empty; very long texts are one row throughout. Rows that repeat a doc_id count as
     one document and change alike (their lines are those of any one of them); rows without
-    doc_id aren't changed. An empty table gives an empty result; other columns are kept.
+    doc_id aren't changed. An empty table gives an empty result; other columns are kept, but
+    for one named ``removed``.
     """
-    return cut_out(docs, later_copies(docs.where("doc_id is not null"), least_lines, least_words))
+    return with_spans(cleaned(docs, least_words), docs)
 
 
-def dedup_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` in its own columns with ``text`` cleaned and ``n_chars``, if there, set to its length.
+def dedup_documents(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``docs`` in its own columns with ``text`` cleaned as by ``dedup_runs`` and ``n_chars``, if there, set to its length.
 
-    A document goes if every line of it was a later copy.
+    A document goes if every line of it was a later copy. Null, empty and blank texts stay as
+    they are, and so does the ``n_chars`` of null; an empty table gives an empty result.
     """
-    done = dedup_runs(docs).where("removed is null or trim(text) <> ''").drop("removed")
+    done = unpacked(cleaned(docs, least_words).where("not blank"), docs.columns)
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         done = done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size))
-    return done.select(*docs.columns)
-
-
-def report(done: DataFrame) -> DataFrame:
-    """doc_id, removed spans and the cleaned text's length and SHA-256."""
-    return done.select(
-        "doc_id",
-        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).alias("n_removed"),
-        span_text(F.col("removed")).alias("removed_spans"),
-        F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
-    )
+    return done
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report(dedup_runs(documents(spark, sf_dir).select("doc_id", "text")))
-
-
-def op4_short_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op4_line_dedup, but one line counts by itself from SHORT_WORDS words on."""
-    return report(dedup_runs(documents(spark, sf_dir).select("doc_id", "text"), least_words=SHORT_WORDS))
+    """``dedup_runs`` of all documents: doc_id, removed spans, their number and code points, length and SHA-256 of what stays."""
+    return report(cleaned(documents(spark, sf_dir).select("doc_id", "text"), LEAST_WORDS))

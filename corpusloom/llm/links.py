@@ -43,7 +43,8 @@ SKETCH = 64
 SLACK = 0.25
 #: In a large bucket, a node that shares this much of the centre's sketch leaves with it.
 LEAVES = 0.75
-ROUNDS = 2
+#: Edges that one task contracts.
+EDGES = 200_000
 #: Most sketches (SKETCH bytes each) that are broadcast.
 SKETCH_ROWS = 50_000
 
@@ -112,9 +113,9 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
 
 
 def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (bucket, node) of buckets with 2 to SMALL nodes, and of larger ones."""
+    """Rows of ``members`` (bucket, node and others) in buckets with 2 to SMALL nodes, and in larger ones, materialised."""
     counts = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    sized = members.join(small_side(counts), "bucket")
+    sized = cut(members.join(small_side(counts), "bucket"))
     return sized.where(F.col("n") <= SMALL).drop("n"), sized.where(F.col("n") > SMALL).drop("n")
 
 
@@ -149,38 +150,36 @@ def tight_pairs(small: DataFrame, one: DataFrame, threshold: float) -> DataFrame
     return scored(small_pairs(small), one, tight(threshold)).select("u", "v")
 
 
-def by_size(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
-    """Buckets (bucket, node) split by the sets' sizes without loss.
+def by_size(members: DataFrame, threshold: float) -> DataFrame:
+    """Buckets (bucket, node, size and others) split by the sets' sizes without loss.
 
     Sets at the threshold differ in size by its inverse at most. Classes are that wide, and a
     set is put in its own and the next one, so such sets share one.
     """
     own = F.floor(F.log(F.col("size").cast("double")) / float(-np.log(threshold)) + 1e-9)
-    sized = members.join(one.select("node", "size"), "node")
-    return sized.select(F.explode(F.array(own, own + 1)).alias("class"), "bucket", "node").select(F.xxhash64("bucket", "class").alias("bucket"), "node")
+    classes = members.withColumn("class", F.explode(F.array(own, own + 1)))
+    return classes.withColumn("bucket", F.xxhash64("bucket", "class")).drop("class")
 
 
-def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """One round over buckets (bucket, node): tight edges (u, v) of what leaves, and the buckets without it."""
-    centres = cut(left.groupBy("bucket").agg(F.min("node").alias("u")))
-    star = cut(left.join(small_side(centres), "bucket").select("bucket", "u", F.col("node").alias("v")).where("v > u"))
-    hubs = cut(centres.select("u").distinct().join(one.select(F.col("node").alias("u"), "sketch"), "u"))
-    few = hubs if hubs.count() > SKETCH_ROWS else F.broadcast(hubs)
-    own = star.select("u", "v").distinct().join(few, "u").withColumnRenamed("sketch", "a")
-    own = own.join(one.select(F.col("node").alias("v"), F.col("sketch").alias("b")), "v").select("u", "v", "a", "b")
+def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[list[DataFrame], DataFrame]:
+    """One round over buckets (bucket, node, size, sketch): tight edges (u, v) of what leaves, and the buckets without it."""
+    centres = cut(left.groupBy("bucket").agg(F.min(F.struct("node", "sketch")).alias("c")).select("bucket", F.col("c.node").alias("u"), F.col("c.sketch").alias("a")))
+    few = F.broadcast(centres) if centres.count() <= SKETCH_ROWS else centres
+    star = left.join(few, "bucket").where("node > u").select("bucket", "u", "a", "node", "size", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["bucket", "u", "node", "size", "sketch"]
         for batch in batches:
-            same = equal_values(batch.column("a"), batch.column("b")) / SKETCH
-            out = pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(same)], ["u", "v", "same"])
-            yield out.filter(pa.array(same >= joins(threshold)))
+            same = equal_values(batch.column("a"), batch.column("sketch")) / SKETCH
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(same)], [*names, "same"])
 
-    alike = cut(own.mapInArrow(run, "u bigint, v bigint, same double"))
-    gone = alike.where(F.col("same") >= LEAVES).select("u", "v")
-    edges = alike.where(F.col("same") >= tight(threshold)).select("u", "v")
-    edges = edges.union(beside(gone, alike.where(F.col("same") < tight(threshold)).select("u", "v"), one, threshold))
-    rest = star.join(gone, ["u", "v"], "left_anti").select("bucket", F.col("v").alias("node"))
-    return edges, rest
+    alike = cut(star.mapInArrow(run, "bucket bigint, u bigint, node bigint, size bigint, sketch binary, same double"))
+    pairs = alike.select("u", F.col("node").alias("v"), "same")
+    edges = [pairs.where(F.col("same") >= tight(threshold)).select("u", "v")]
+    gone, others = pairs.where(F.col("same") >= LEAVES), pairs.where((F.col("same") >= joins(threshold)) & (F.col("same") < tight(threshold)))
+    if not others.isEmpty() and not gone.isEmpty():
+        edges.append(beside(gone.select("u", "v").distinct(), others.select("u", "v").distinct(), one, threshold))
+    return edges, alike.where(F.col("same") < LEAVES).select("bucket", "node", "size", "sketch")
 
 
 def beside(gone: DataFrame, others: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
@@ -224,18 +223,18 @@ def beside(gone: DataFrame, others: DataFrame, one: DataFrame, threshold: float)
     return dealt.repartition(n, "u", "i", "j").sortWithinPartitions("u", "i", "j", "side").mapInArrow(run, "u bigint, v bigint")
 
 
-def block_edges(left: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+def block_edges(left: DataFrame, threshold: float) -> DataFrame:
     """Edges (u, v) that connect what is tight in large buckets: a spanning forest for each pair of blocks."""
     sizes = cut(left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
     placed = left.join(small_side(sizes), "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    dealt = placed.withColumn("p", block_pairs()).select("bucket", "p.i", "p.j", "node", "own").join(one.select("node", "sketch"), "node")
+    dealt = placed.withColumn("p", block_pairs()).select("bucket", "p.i", "p.j", "node", "sketch")
     least = round(tight(threshold) * SKETCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for bucket, i, j, node, own, sketch in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "own", "sketch"))):
+            for bucket, i, j, node, sketch in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "node", "sketch"))):
                 if (bucket, i, j) != key:
                     found += forest(held, least)
                     key, held = (bucket, i, j), []
@@ -249,7 +248,7 @@ def block_edges(left: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
         a, b = zip(*found)
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
-    n = parts(one.sparkSession)
+    n = parts(left.sparkSession)
     return dealt.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "u bigint, v bigint")
 
 
@@ -286,40 +285,43 @@ def forest(held: list[tuple[int, bytes]], least: int) -> list[tuple[int, int]]:
     return [(held[a][0], held[k][0]) for k, a in enumerate(label.tolist()) if a != k]
 
 
-def large_edges(members: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
-    """Tight edges in buckets of over SMALL nodes.
-
-    Round by round the smallest node of a bucket takes out itself and the nodes very like it.
-    What shrinks to SMALL nodes is paired, what resists ROUNDS rounds is compared in blocks.
-    """
-    out = members.sparkSession.createDataFrame([], "u bigint, v bigint")
-    left = cut(members.distinct())
-    for _ in range(ROUNDS):
-        if left.isEmpty():
-            return out
-        edges, rest = strip(left, one, threshold)
-        small, left = split_by_size(rest)
-        out = out.union(edges).union(tight_pairs(small, one, threshold))
-        left = cut(left)
-    return out if left.isEmpty() else out.union(block_edges(left, one, threshold))
-
-
 def packed(df: DataFrame, few: int) -> DataFrame:
     """``df`` materialised in ``few`` partitions if that is fewer than a shuffle makes."""
     return cut(df.coalesce(few) if few < parts(df.sparkSession) else df)
 
 
+def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) for the nodes of one task's edges (u, v), by union and find."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            a, b = find(u), find(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    if parent:
+        ids = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(x) for x in ids], pa.int64())], ["node", "root"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge: root is the smallest node that it is connected with.
 
-    Alternating large and small stars; rounds grow with the logarithm of the longest path.
+    Tasks of up to EDGES edges contract theirs; what is left of several tasks is joined by
+    alternating large and small stars, whose rounds grow with the logarithm of the longest path.
     """
-    now = cut(edges.select("u", "v").where("u <> v").distinct())
-    n = now.count()
-    few = max(1, n // 20_000)  # small tables need no more tasks than this
-    if few < parts(now.sparkSession):
-        now = cut(now.coalesce(few))
-    while n:
+    now = cut(edges.select("u", "v").where("u <> v"))
+    few = max(1, -(-now.count() // EDGES))
+    own = cut(now.coalesce(few).mapInArrow(contracted, "node bigint, root bigint"))
+    if few == 1:
+        return own
+    now = cut(own.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).distinct())
+    while True:
         both = now.union(now.select("v", "u"))
         least = packed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), few)
         large = both.join(small_side(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -448,18 +450,28 @@ def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[Dat
     have no links and their own class; rows that repeat a doc_id each get a row.
     """
     everyone, one = nodes(docs, keys)
-    members = one.select("node", F.explode(F.array_distinct("keys")).alias("bucket"))
-    small, large = split_by_size(members)
-    edges = one.sparkSession.createDataFrame([], "u bigint, v bigint")
-    if deeper is not None:
-        large = cut(large)
-        full = large.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-        rare = cut(one.join(full, "node").where(F.size(F.array_distinct("keys")) - F.col("n") < enough).select("node"))
-        edges, rest = strip(cut(large.join(rare, "node")), one, threshold)  # groups of near copies needn't be split further
-        fewer, large = split_by_size(by_size(rest, one, threshold))
-        more, large = deeper(cut(large), one)
-        small = small.unionByName(fewer).unionByName(more)
-    edges = edges.union(tight_pairs(small, one, threshold)).union(large_edges(large, one, threshold))
+    marks = one.select("node", "size", "sketch")
+    small, large = split_by_size(one.select("node", F.explode(F.array_distinct("keys")).alias("bucket")))
+    edges: list[DataFrame] = []
+    if deeper is not None and not large.isEmpty():
+        own = large.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+        needy = one.join(own, "node").where(F.size(F.array_distinct("keys")) - F.size("buckets") < enough)
+        found, rest = strip(cut(needy.select(F.explode("buckets").alias("bucket"), "node", "size", "sketch")), one, threshold)
+        edges += found  # groups of near copies needn't be split further
+        fewer, large = split_by_size(by_size(rest, threshold).select("bucket", "node"))
+        small = small.unionByName(fewer)
+        if not large.isEmpty():
+            more, large = deeper(large, one)
+            small = small.unionByName(more)
+    if not large.isEmpty():
+        found, rest = strip(large.distinct().join(marks, "node"), one, threshold)
+        fewer, large = split_by_size(rest)
+        small = small.unionByName(fewer.select("bucket", "node"))
+        edges += [*found, block_edges(large, threshold)]
+    for more in edges[1:]:
+        edges[0] = edges[0].union(more)
+    near = tight_pairs(small, one, threshold)
+    edges = near.union(edges[0]) if edges else near
     groups = cut(components(edges))
     exact = cut(verified(groups, docs, one, threshold))
     counts = exact.groupBy("node").agg(F.sum("links").alias("links"))

@@ -7,9 +7,8 @@ from corpusloom.llm.chosen_path import op9_jaccard_join
 from corpusloom.llm.exact import op6_exact_dedup
 from corpusloom.llm.fingerprint import op1_fingerprints
 from corpusloom.llm.languages import op8_language_id
-from corpusloom.llm.line_runs import op4_line_dedup, op4_short_line_dedup
+from corpusloom.llm.line_runs import op4_line_dedup
 from corpusloom.llm.mixing import op7_mixing
-from corpusloom.llm.passages import op2_passage_dedup
 from corpusloom.llm.pieces import op5_sentencepiece
 from corpusloom.llm.quality import op3_quality
 from corpusloom.llm.substrings import op2_substring_dedup
@@ -17,8 +16,8 @@ from corpusloom.llm.substrings import op2_substring_dedup
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_fingerprints, op2_substring_dedup, op2_passage_dedup, op3_quality, op4_line_dedup, op4_short_line_dedup, op5_sentencepiece,
-        op6_exact_dedup, op7_mixing, op8_language_id, op9_jaccard_join, op10_chat_format,
+        op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece, op6_exact_dedup, op7_mixing, op8_language_id,
+        op9_jaccard_join, op10_chat_format,
     )
 }
 
@@ -38,22 +37,31 @@ done AS (SELECT doc_id, count(*) FILTER (cut)::INT AS n_removed, coalesce(sum(le
 """
 
 ORACLES = {
-    "op2_substring_dedup": f"""
-WITH {_UNITS},
-normal AS (SELECT *, trim(regexp_replace(lower(nfc_normalize(line)), '\\s+', ' ', 'g')) AS unit FROM units WHERE solid),
-ranked AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) AS k FROM normal WHERE len(string_split(unit, ' ')) >= 5),
-gone AS (SELECT doc_id, pos FROM ranked WHERE k > 1),
-{_CLEANED}
-SELECT doc_id, n_removed, chars_removed, removed_spans, length(cleaned) AS n_chars, sha256(cleaned) AS text_sha256 FROM done
+    "op2_substring_dedup": """
+WITH raw AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '\\s*\\S+') AS parts FROM documents),
+pieces AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM raw),
+words AS (SELECT doc_id, i, regexp_extract(part, '\\S+') AS word, regexp_extract(part, '^\\s*') AS gap, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM pieces),
+lists AS (SELECT doc_id, list(lower(nfc_normalize(word)) ORDER BY i) AS w FROM words GROUP BY doc_id),
+units AS (SELECT doc_id, unnest(list_transform(range(len(w) - 49), lambda k: md5(array_to_string(w[k + 1:k + 50], ' ')))) AS unit, unnest(range(len(w) - 49)) AS i FROM lists WHERE len(w) >= 50),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY doc_id, i) AS k FROM units) WHERE k > 1),
+marked AS (SELECT w.*, max(l.i) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS cut FROM words w LEFT JOIN later l ON l.doc_id = w.doc_id AND l.i = w.i),
+edged AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens, cut AND NOT coalesce(lead(cut) OVER (PARTITION BY doc_id ORDER BY i), false) AS closes FROM marked),
+spans AS (SELECT doc_id, i, e - length(word) AS beg, min(CASE WHEN closes THEN e END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fin, opens FROM edged),
+lost AS (SELECT doc_id, count(*)::INT AS n_removed, sum(fin - beg)::INT AS chars_removed, string_agg((beg::BIGINT)::VARCHAR || '-' || (fin::BIGINT)::VARCHAR, ',' ORDER BY i) AS removed_spans FROM spans WHERE opens GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(CASE WHEN opens THEN gap WHEN cut THEN '' ELSE gap || word END, '' ORDER BY i) AS t FROM edged GROUP BY doc_id),
+done AS (SELECT r.doc_id, n_removed, chars_removed, removed_spans, CASE WHEN n_removed IS NULL THEN text ELSE t || regexp_extract(text, '\\s*$') END AS cleaned
+    FROM raw r LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id))
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(chars_removed, 0) AS chars_removed, coalesce(removed_spans, '') AS removed_spans, length(cleaned) AS n_chars, sha256(cleaned) AS text_sha256 FROM done
 """,
     "op4_line_dedup": f"""
 WITH {_UNITS},
-seqs AS (SELECT doc_id, pos, trim(line) AS unit, lead(trim(line)) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM units WHERE solid),
-ones AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) AS k FROM seqs WHERE len(string_split(regexp_replace(unit, '\\s+', ' ', 'g'), ' ')) >= 10),
-twos AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY unit, after ORDER BY doc_id, pos) AS k FROM seqs WHERE after IS NOT NULL),
-gone AS (SELECT doc_id, pos FROM ones WHERE k > 1 UNION SELECT doc_id, pos FROM twos WHERE k > 1 UNION SELECT doc_id, pos + 1 FROM twos WHERE k > 1),
+solid AS (SELECT doc_id, pos, trim(line) AS unit, len(string_split(regexp_replace(trim(line), '\\s+', ' ', 'g'), ' ')) AS words FROM units WHERE solid),
+often AS (SELECT *, dense_rank() OVER (ORDER BY unit) AS id, count(*) OVER (PARTITION BY unit) AS n FROM solid QUALIFY n > 1),
+met AS (SELECT a.doc_id, a.pos, a.words, b.doc_id AS src, a.pos - b.pos AS shift FROM often a JOIN often b ON a.id = b.id AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.pos < a.pos)),
+runs AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, src, shift ORDER BY pos) AS run FROM met),
+gone AS (SELECT DISTINCT doc_id, pos FROM (SELECT doc_id, pos, sum(words) OVER (PARTITION BY doc_id, src, shift, run) AS total FROM runs) WHERE total >= 5),
 {_CLEANED}
-SELECT doc_id, n_removed, removed_spans, length(cleaned) AS n_chars, sha256(cleaned) AS text_sha256 FROM done
+SELECT doc_id, n_removed, chars_removed, removed_spans, length(cleaned) AS n_chars, sha256(cleaned) AS text_sha256 FROM done
 """,
     "op6_exact_dedup": """
 WITH folded AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
@@ -75,4 +83,3 @@ SELECT c.doc_id, class_id, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(min(c.d
 FROM classes c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM mutual GROUP BY a) l ON l.a = c.doc_id
 """,
 }
-ORACLES["op4_short_line_dedup"] = ORACLES["op4_line_dedup"].replace(">= 10)", ">= 5)")

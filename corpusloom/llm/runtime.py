@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the session has none, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where a session of one process has none, as in tests."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         where = spark.conf.get("spark.checkpoint.dir", None)
+        if where is None and re.fullmatch(r"local(\[.*\])?", context.master) is None:
+            raise RuntimeError("spark.checkpoint.dir is unset; executors need a folder that they share")
         context.setCheckpointDir(where or tempfile.mkdtemp(prefix="corpusloom-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -52,9 +55,12 @@ def cut(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 100_000
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """A materialised table of keys and numbers, broadcast if it was counted to be small, else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small_side(df: DataFrame, most: int | None = None) -> DataFrame:
+    """A table of keys and numbers, broadcast if it is small, else as it is.
+
+    ``most`` bounds its rows; without it a materialised table is counted.
+    """
+    return F.broadcast(df) if (df.count() if most is None else most) <= BROADCAST_ROWS else df
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -72,6 +78,21 @@ def whole_number(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("bigint")
 
 
+def quoted(name: str) -> str:
+    """A column name for expressions, whatever it contains."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct, so that helper columns beside it can't clash with their names."""
+    return F.struct(*(F.col(quoted(c)) for c in df.columns))
+
+
+def unpacked(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of a ``whole_row`` named row."""
+    return df.select(*(F.col("row").getField(c).alias(c) for c in names))
+
+
 def ordered_ids(df: DataFrame, *order: Column, name: str) -> DataFrame:
     """``df`` with a bigint ``name`` that grows with ``order``; gaps are allowed.
 

@@ -1,54 +1,184 @@
-"""Operator 2, substring dedup by line hashing."""
+"""Operator 2, substring dedup: a passage is a unit of PASSAGE words, wherever in a line it begins or ends.
+
+Units are normalised, their digests are grouped over all documents, the earliest by (doc_id,
+position) is kept and the rest are removed, with their offsets in the original. The text is
+cut into units at every word, so that a passage is met whatever is before and behind it;
+whole lines or paragraphs as units would miss those that begin or end inside a line.
+
+There is no row for each unit. The smallest hash of the GRAM-word runs inside a unit depends on
+its words alone, so equal units have equal ones. Neighbouring units with the same smallest run are
+one segment, and segments are grouped by their digest first. Where distinct segments have an equal
+smallest run, the first copy of each is opened, and its units are grouped by their own digests.
+Both steps together remove what grouping all units would; a test holds them against that.
+Groups are aggregated before they are joined, so a very common passage is no hot key.
+"""
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, documents
-from corpusloom.llm.units import cut_out, lines, span_text
+from corpusloom.llm.blocks import U, buffers, mix, slices, words
+from corpusloom.llm.runtime import cut, documents, small_side, whole_number
+from corpusloom.llm.units import cut_out, report, with_spans
 
-LEAST_WORDS = 5
+PASSAGE = 50
+GRAM = 20
+#: Multipliers of the hashes of short runs, segments and windows.
+RUN, SEGMENT, WINDOW = 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1342543DE82EF95
+WORD = re.compile(r"\S+")
 
 
-def normal(line: str) -> str:
-    """A line in the form in which it is compared: NFC, lower case, blanks collapsed."""
-    return " ".join(unicodedata.normalize("NFC", line).lower().split())
+def normal(text: str) -> str:
+    """A text in the form in which it is compared: NFC, lower case, blanks collapsed."""
+    return " ".join(unicodedata.normalize("NFC", text).lower().split())
 
 
-def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id and positions of the lines to remove: all but the earliest of equal lines.
+class Rolling:
+    """Hashes of any runs of words, by prefix sums of a polynomial modulo 2**64."""
 
-    Lines are equal if their normal forms are; the earliest has the smallest
-    (doc_id, position). Lines of fewer than ``least_words`` words stay.
-    """
-    units = cut(lines(docs, normal).where(F.col("words") >= least_words))
-    firsts = units.groupBy("digest").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = cut(firsts.where("n > 1"))  # a table of its own lets Spark split the join where a line is very common
-    later = units.join(firsts, "digest").where("doc_id <> first.doc_id or pos <> first.pos")
-    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+    def __init__(self, hashes: np.ndarray, base: int):
+        n = len(hashes)
+        self.back = self.powers(pow(base, -1, 1 << 64), n)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * self.powers(base, n), dtype=np.uint64)])
+
+    @staticmethod
+    def powers(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base, dtype=np.uint64)
+        out[:1] = U(1)
+        return np.multiply.accumulate(out)
+
+    def runs(self, begin: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return mix((self.sums[begin + length] - self.sums[begin]) * self.back[begin])
+
+
+def smallest(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest of every ``width`` neighbouring values, and the last place where it is."""
+    place, length = np.arange(len(values)), 1
+    while length < width:
+        step = min(length, width - length)
+        take = values[step:] <= values[: len(values) - step]
+        values = np.where(take, values[step:], values[: len(values) - step])
+        place = np.where(take, place[step:], place[: len(place) - step])
+        length += step
+    return values, place
+
+
+def segments(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, first window (from 0 in its row), windows, smallest run and hash of every segment."""
+    if len(hashes) < PASSAGE:
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    least, place = smallest(Rolling(hashes, RUN).runs(np.arange(len(hashes) - GRAM + 1), GRAM), PASSAGE - GRAM + 1)
+    inside = np.flatnonzero(owner[: len(least)] == owner[PASSAGE - 1 :])
+    if not len(inside):
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    new = np.ones(len(inside), dtype=bool)
+    new[1:] = (place[inside[1:]] != place[inside[:-1]]) | (owner[inside[1:]] != owner[inside[:-1]])
+    at = np.flatnonzero(new)
+    count = np.diff(np.append(at, len(inside)))
+    begin = inside[at]
+    marks = mix(Rolling(hashes, SEGMENT).runs(begin, count + PASSAGE - 1) ^ count.astype(np.uint64))
+    return owner[begin], begin - rows[owner[begin]], count, least[begin].view(np.int64), marks.view(np.int64)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the texts in the form in which they are compared, and the texts' offsets."""
+    return words(*buffers(pa.array([normal(x) for x in texts], pa.large_string())))
+
+
+def all_segments(docs: DataFrame) -> DataFrame:
+    """One row for each segment of each text: least, mark, doc_id, begin (first window), n (windows)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, offsets = buffers(batch.column("text"))
+            ids = np.array(batch.column("doc_id").to_pylist(), dtype=np.int64)
+            for first, last in slices(offsets):
+                row, begin, count, least, mark = segments(*word_hashes(batch.column("text").slice(first, last - first).to_pylist()))
+                for k in range(0, len(row), 50_000):
+                    part = slice(k, k + 50_000)
+                    columns = (least[part], mark[part], ids[first + row[part]], begin[part].astype(np.int32), count[part].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
+
+    return docs.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+
+
+def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, begin, n) of the ``units`` that aren't the first of equal (least, mark), and one row for each of these: least, doc_id, begin, n."""
+    groups = units.groupBy("least", "mark").agg(F.min(F.struct("doc_id", "begin", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
+    groups = cut(groups)
+    many = cut(groups.where("members > 1").select("least", "mark", "first"))
+    found = units.join(many, ["least", "mark"]).where("doc_id <> first.doc_id or begin <> first.begin")
+    return found.select("doc_id", "begin", "n"), groups.select("least", "first.*")
+
+
+def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The windows of the ``chosen`` segments: least, mark (now of the window), doc_id, begin, n (1)."""
+    lists = cut(chosen.groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n", "least")).alias("chosen")))
+    wide = lists.join(docs, "doc_id").select("doc_id", "chosen", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, chosen, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chosen", "text"))):
+                hashes, _ = word_hashes([text])
+                begin, count, least = (np.array([x[c] for x in chosen], dtype=np.int64) for c in ("begin", "n", "least"))
+                at = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                least = np.repeat(least, count)
+                fits = at + PASSAGE <= len(hashes)
+                at, least = at[fits], least[fits]
+                if len(at):
+                    marks = Rolling(hashes, WINDOW).runs(at, PASSAGE).view(np.int64)
+                    columns = (least, marks, np.full(len(at), doc_id, np.int64), at.astype(np.int32), np.ones(len(at), np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
+
+    return wide.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+
+
+def later_passages(docs: DataFrame) -> DataFrame:
+    """doc_id and marks (begin, n): where the units begin that equal an earlier one by (doc_id, position)."""
+    rows = docs.where("doc_id is not null").select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found, firsts = later(cut(all_segments(rows)))
+    shared = cut(firsts.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
+    single, _ = later(cut(opened_windows(rows, firsts.join(small_side(shared), "least"))))
+    return found.unionByName(single).groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n")).alias("marks"))
+
+
+def without_words(text: str, marks: list) -> tuple[str, list[tuple[int, int]]]:
+    """``text`` without the units of the given marks, and the spans taken out, in code points."""
+    found = [m.span() for m in WORD.finditer(text)]
+    spans: list[list[int]] = []  # of words
+    for begin, n in sorted((x["begin"], x["n"]) for x in marks):
+        end = min(begin + n - 1 + PASSAGE, len(found))
+        if spans and begin <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], end)
+        elif begin < end:
+            spans.append([begin, end])
+    gone = [(found[a][0], found[b - 1][1]) for a, b in spans]
+    edges = [0, *(x for span in gone for x in span), len(text)]
+    return "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])), gone
 
 
-def dedup_units(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with repeated lines cut from ``text``, and ``removed``: their spans in the original.
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text``, and ``removed``: their spans in the original.
 
-    Null and empty texts stay as they are; a text may become empty. Rows that repeat a
-    doc_id count as one document and change alike; rows without doc_id aren't changed.
-    An empty table gives an empty result; other columns are kept.
+    Words are what blanks separate, equal in NFC and lower case; line feeds are blanks. Every
+    run of PASSAGE words that equals an earlier one, by (doc_id, position), goes, within a text
+    too; the blanks on both sides of a span stay. Null, empty and shorter texts stay as they are; a text
+    may become empty. Rows that repeat a doc_id count as one document and change alike; rows
+    without doc_id aren't changed. An empty table gives an empty result; other columns are kept,
+    but for one named ``removed``.
     """
-    return cut_out(docs, repeated_units(docs.where("doc_id is not null"), least_words))
+    return with_spans(cut_out(docs, later_passages(docs), without_words), docs)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, removed spans, their number and code points, and the cleaned text's length and SHA-256."""
-    done = dedup_units(documents(spark, sf_dir).select("doc_id", "text"))
-    return done.select(
-        "doc_id",
-        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).alias("n_removed"),
-        F.expr("coalesce(aggregate(removed, 0, (n, s) -> n + s.end - s.begin), 0)").alias("chars_removed"),
-        span_text(F.col("removed")).alias("removed_spans"),
-        F.length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_chars"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
-    )
+    """``dedup_passages`` of all documents: doc_id, removed spans, their number and code points, length and SHA-256 of what stays."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return report(cut_out(docs, later_passages(docs), without_words))

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.runtime import whole_number
+from corpusloom.llm.runtime import whole_number, whole_row
 
 
 def spans(text: str) -> Iterator[tuple[int, int, str]]:
@@ -79,30 +79,53 @@ def span_text(removed: Column) -> Column:
     return F.coalesce(F.array_join(written, ","), F.lit(""))
 
 
-def cut_out(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` with cleaned ``text``, and ``removed``: the spans taken out, or null if none were.
+def cut_out(docs: DataFrame, marks: DataFrame, remove: Callable[[str, list], tuple[str, list[tuple[int, int]]]]) -> DataFrame:
+    """``row`` (all columns of ``docs``, with cleaned text), ``removed`` (spans taken out, or null) and ``blank``.
 
-    ``dropped`` has doc_id and positions (array of int), one row for each text to change.
+    ``marks`` has doc_id and an array ``marks``, one row for each text to change; ``remove`` maps a
+    text and its marks to the cleaned text and the spans in the original. ``blank`` tells texts that
+    became empty or blank. The columns of ``docs`` travel in one struct, so their names can't clash.
     """
-    names = [c for c in docs.columns if c != "text"]
-    marks = dropped.select(F.col("doc_id").alias("_id"), F.col("positions").alias("_positions"))
-    wide = docs.join(marks, F.col("doc_id").cast("bigint") == F.col("_id"), "left").drop("_id")
+    keyed = marks.select(F.col("doc_id").alias("_id"), F.col("marks").alias("_marks"))
+    held = docs.select(F.col("doc_id").cast("bigint").alias("_own"), whole_row(docs).alias("row"))
+    wide = held.join(keyed, F.col("_own") == F.col("_id"), "left").select("row", "_marks")
     span = T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    schema = wide.select(*names, "text").schema.add("removed", T.ArrayType(span))
+    schema = T.StructType([T.StructField("row", wide.schema["row"].dataType), T.StructField("removed", T.ArrayType(span)), T.StructField("blank", T.BooleanType())])
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+    at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone = [], []
-            for text, positions in zip(batch.column("text").to_pylist(), batch.column("_positions").to_pylist()):
-                if positions and text:
-                    text, spent = without(text, set(positions))
-                    gone.append([{"begin": a, "end": b} for a, b in spent])
-                else:
-                    gone.append(None)
+            rows = batch.column("row")
+            fields = rows.flatten()
+            texts, gone, blank = [], [], []
+            for text, own in zip(fields[at].to_pylist(), batch.column("_marks").to_pylist()):
+                spent: list[tuple[int, int]] = []
+                if own and text:
+                    text, spent = remove(text, own)
+                gone.append([{"begin": a, "end": b} for a, b in spent] if spent else None)
+                blank.append(bool(spent) and not text.strip())
                 texts.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(texts, batch.schema.field("text").type), pa.array(gone, kind)], [*names, "text", "removed"]
-            )
+            fields[at] = pa.array(texts, fields[at].type)
+            whole = pa.StructArray.from_arrays(fields, fields=list(rows.type))
+            yield pa.RecordBatch.from_arrays([whole, pa.array(gone, kind), pa.array(blank)], ["row", "removed", "blank"])
 
     return wide.mapInArrow(run, schema)
+
+
+def with_spans(done: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` and ``removed``, which takes the place of a column of that name."""
+    return done.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "removed"), "removed")
+
+
+def report(done: DataFrame) -> DataFrame:
+    """doc_id, removed spans, their number and code points, and the cleaned text's length and SHA-256."""
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).alias("n_removed"),
+        F.expr("coalesce(aggregate(removed, 0, (n, s) -> n + s.end - s.begin), 0)").alias("chars_removed"),
+        span_text(F.col("removed")).alias("removed_spans"),
+        F.length(text).cast("bigint").alias("n_chars"),
+        F.sha2(text, 256).alias("text_sha256"),
+    )

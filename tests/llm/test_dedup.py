@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chosen_path, exact, fingerprint, line_runs, links, substrings
+from corpusloom.llm import chosen_path, exact, fingerprint, line_runs, links
 from corpusloom.llm.blocks import BASE, MinHash, shingles_of
 from corpusloom.llm.units import spans, without
 
@@ -80,6 +80,7 @@ def test_joins_match_brute_force(spark, monkeypatch):
         assert join(cases.empty(spark)).count() == 0
     monkeypatch.setattr(links, "SMALL", 3)
     monkeypatch.setattr(links, "BLOCK", 7)
+    monkeypatch.setattr(links, "EDGES", 9)
     found = Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in chosen_path.jaccard_join(cases.table(spark)).collect())
     assert found == expected
 
@@ -107,32 +108,29 @@ def test_survival_is_no_less_than_simulated():
     assert met / 200 > chosen_path.survival(0.8, 2) - 0.1
 
 
-def brute_units(rows, least=substrings.LEAST_WORDS):
-    seen, gone = {}, defaultdict(set)
-    for doc_id, pos, unit in sorted({(r[0], p, substrings.normal(u)) for r in rows if r[0] is not None for p, (_, _, u) in enumerate(spans(r[1] or ""))}):
-        if len(unit.split()) >= least:
-            if seen.setdefault(unit, (doc_id, pos)) != (doc_id, pos):
-                gone[doc_id].add(pos)
-    return gone
-
-
-def brute_runs(rows):
+def brute_runs(rows, least=line_runs.LEAST_WORDS):
+    """Lines in a run of ``least`` words or more that equals an earlier one, by comparing all pairs of places."""
     lines = {}
     for r in rows:
         if r[0] is not None:
             lines[r[0]] = [u.strip() for _, _, u in spans(r[1] or "")]
+    places = defaultdict(list)
+    for d in sorted(lines):
+        for p, u in enumerate(lines[d]):
+            places[u].append((d, p))
     gone = defaultdict(set)
-    for width in (1, 2):
-        seen = set()
-        for doc_id in sorted(lines):
-            own = lines[doc_id]
-            for p in range(len(own) - width + 1):
-                key = tuple(own[p : p + width])
-                if width == 1 and len(key[0].split()) < line_runs.LEAST_WORDS:
-                    continue
-                if key in seen:
-                    gone[doc_id] |= set(range(p, p + width))
-                seen.add(key)
+    for d, own in lines.items():
+        for p, u in enumerate(own):
+            for e, q in places[u]:
+                if (e, q) >= (d, p):
+                    break
+                if p and q and own[p - 1] == lines[e][q - 1]:
+                    continue  # not the begin of a run
+                n = 0
+                while p + n < len(own) and q + n < len(lines[e]) and own[p + n] == lines[e][q + n]:
+                    n += 1
+                if sum(len(x.split()) for x in own[p : p + n]) >= least:
+                    gone[d] |= set(range(p, p + n))
     return gone
 
 
@@ -146,32 +144,13 @@ def cleaned(rows, gone):
     return out
 
 
-def test_line_dedups_match_brute_force(spark):
+def test_line_dedup_matches_brute_force(spark):
     rows = cases.rows()
-    for run, brute in ((substrings.dedup_units, brute_units), (line_runs.dedup_runs, brute_runs)):
-        done = run(cases.table(spark)).collect()
-        found = Counter((r["doc_id"], r["text"], tuple(map(tuple, r["removed"])) if r["removed"] is not None else None, r["digest"], r["rank"]) for r in done)
-        gone = brute(rows)
-        assert gone and found == cleaned(rows, gone)
-        assert run(cases.empty(spark)).count() == 0
-
-
-def test_intervals_are_shared_prefixes(spark):
-    rows = [(1, "a\nb\nc\nd\ne"), (2, "z\na\nb\nc\nd\ne"), (3, "a\nb\nx"), (4, "c\nd")]
-    found = line_runs.intervals(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
-    lines = {d: t.split("\n") for d, t in rows}
-    expected = set()
-    for depth in (1, 2, 4):
-        places = defaultdict(list)
-        for d, own in lines.items():
-            for p in range(len(own) - depth + 1):
-                places[tuple(own[p : p + depth])].append((d, p))
-        expected |= {(depth, d, p, *min(v)) for v in places.values() if len(v) > 1 for d, p in v}
-    assert {(r["depth"], r["doc_id"], r["pos"], r["first_doc"], r["first_pos"]) for r in found} == expected
-    by_rank = defaultdict(set)
-    for r in found:
-        by_rank[r["depth"], r["rank"]].add(tuple(lines[r["doc_id"]][r["pos"] : r["pos"] + r["depth"]]))
-    assert all(len(x) == 1 for x in by_rank.values())
+    done = line_runs.dedup_runs(cases.table(spark)).collect()
+    found = Counter((r["doc_id"], r["text"], tuple(map(tuple, r["removed"])) if r["removed"] is not None else None, r["digest"], r["rank"]) for r in done)
+    gone = brute_runs(rows)
+    assert gone and found == cleaned(rows, gone)
+    assert line_runs.dedup_runs(cases.empty(spark)).count() == 0
 
 
 def brute_exact(rows):
