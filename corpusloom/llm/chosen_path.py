@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import links
 from corpusloom.llm.blocks import U, buffers, mix, slices
-from corpusloom.llm.runtime import cut, documents
+from corpusloom.llm.runtime import cut, documents, unpacked, whole_number, whole_row
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -163,15 +163,19 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each linked class: the one with the smallest doc_id.
 
-    Rows that repeat both doc_id and text give one row; a row without doc_id stays.
+    Rows that repeat both doc_id and text give one row; a row without doc_id stays. Null, empty
+    and blank texts have no links and stay. An empty table gives an empty result; other columns
+    are kept under any names.
     """
     classes = jaccard_join(docs, threshold)
-    kept = cut(classes.where("doc_id = class_id").select("doc_id").distinct())
-    rows = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    once = Window.partitionBy("doc_id", "text").orderBy(F.lit(1))
-    rows = rows.withColumn("_once", F.row_number().over(once)).where("_once = 1").drop("_once")
-    return rows.unionByName(docs.where("doc_id is null"))
+    kept = cut(classes.where("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct())
+    held = docs.select(whole_number("doc_id").alias("_id"), F.col("text").alias("_text"), whole_row(docs).alias("row"))
+    rows = held.where("_id is not null").join(kept, "_id", "left_semi")
+    once = Window.partitionBy("_id", "_text").orderBy(F.lit(1))
+    rows = rows.withColumn("_once", F.row_number().over(once)).where("_once = 1").select("row")
+    return unpacked(rows, docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``jaccard_join`` of all documents, with production parameters."""
     return jaccard_join(documents(spark, sf_dir))

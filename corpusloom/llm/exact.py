@@ -2,8 +2,8 @@
 
 Each task keeps a memtable of digest -> (kept id, count) and flushes it as a sorted run
 with a Bloom filter whenever it is full. Compaction brings the runs of each range of
-digests together: entries that no other run's filter knows pass through, the rest are
-merged in digest order, keeping the preferred identifier and adding counts. Every document
+digests together and merges FAN of them at a time, tier by tier: entries that no other run's filter
+knows pass through, the rest are merged, keeping the preferred identifier and adding counts. Every document
 whose digest is in a merged entry of two or more is a hit, and its bytes are compared with
 those of the kept document; hits that differ are grouped again by their bytes.
 """
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from corpusloom.llm.runtime import cut, documents, parts, whole_number
 
 MEMTABLE = 50_000
 FILTER_BITS = 16
+#: Runs that one step of the compaction merges.
+FAN = 8
 SHARD_ROWS = 400_000
 NO_ID = -(1 << 63)
 
@@ -87,10 +90,12 @@ def flush(memtable: dict[bytes, list], run: int, shards: int) -> Iterator[tuple]
         begin = end
 
 
-def compact(runs: list[dict]) -> Iterator[tuple[bytes, int, int]]:
-    """All entries of the runs of one shard, each digest once: largest identifier, counts added."""
+def merged_run(runs: list[dict]) -> dict:
+    """Up to FAN sorted runs as one. Entries whose digest no other run's filter knows pass through; the rest are
+    merged, keeping the largest identifier and adding counts."""
     sieves = [Bloom(raw=run["filter"]) for run in runs]
-    hits: list[tuple[bytes, int, int]] = []
+    out: list[tuple[bytes, int, int]] = []
+    hits: dict[bytes, list[int]] = {}
     for a, run in enumerate(runs):
         numbers = as_numbers(run["digest"])
         other = np.zeros(len(numbers), bool)
@@ -98,27 +103,32 @@ def compact(runs: list[dict]) -> Iterator[tuple[bytes, int, int]]:
             if b != a:
                 other |= sieve.may_have(numbers)
         for digest, keep, n, hit in zip(run["digest"], run["keep"], run["n"], other):
-            if hit:
-                hits.append((digest, keep, n))
+            if not hit:
+                out.append((digest, keep, n))
+            elif (entry := hits.get(digest)) is None:
+                hits[digest] = [keep, n]
             else:
-                yield digest, keep, n
-    hits.sort()
-    begin = 0
-    while begin < len(hits):
-        end = begin
-        while end < len(hits) and hits[end][0] == hits[begin][0]:
-            end += 1
-        yield hits[begin][0], max(x[1] for x in hits[begin:end]), sum(x[2] for x in hits[begin:end])
-        begin = end
+                entry[0], entry[1] = max(entry[0], keep), entry[1] + n
+    out += [(digest, keep, n) for digest, (keep, n) in hits.items()]
+    out.sort()
+    digests, keeps, counts = (list(x) for x in zip(*out))
+    return {"digest": digests, "keep": keeps, "n": counts, "filter": Bloom(as_numbers(digests)).bits.tobytes()}
+
+
+def compact(runs: list[dict]) -> dict | None:
+    """All entries of the runs of one shard, each digest once. Tier by tier FAN runs become one, so each entry
+    meets FAN - 1 filters in each of the tiers, however many runs there are."""
+    while len(runs) > 1:
+        runs = [merged_run(runs[k : k + FAN]) if k + 1 < len(runs) else runs[k] for k in range(0, len(runs), FAN)]
+    return runs[0] if runs else None
 
 
 def index(digests: DataFrame, shards: int, memtable_rows: int = MEMTABLE) -> DataFrame:
     """The compacted index of (doc_id, digest): digest, keep_id (largest), n."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed = np.random.default_rng().integers(1 << 62)  # a name for the task's runs; nothing depends on its value
         memtable: dict[bytes, list] = {}
-        run = int(seed)
+        run = TaskContext.get().partitionId() << 32  # a task that runs again names its runs alike
         for batch in batches:
             for doc_id, digest in zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist()):
                 doc_id = NO_ID if doc_id is None else doc_id
@@ -153,10 +163,10 @@ def index(digests: DataFrame, shards: int, memtable_rows: int = MEMTABLE) -> Dat
         yield from merged(runs)
 
     def merged(runs: dict) -> Iterator[pa.RecordBatch]:
-        out = list(compact(list(runs.values())))
-        if out:
-            a, b, c = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["digest", "keep_id", "n"])
+        done = compact(list(runs.values()))
+        if done is not None:
+            columns = [pa.array(done["digest"], pa.binary()), pa.array(done["keep"], pa.int64()), pa.array(done["n"], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "keep_id", "n"])
 
     n = parts(digests.sparkSession)
     runs = digests.mapInArrow(build, "shard int, run bigint, digest binary, keep bigint, n bigint, filter binary")
@@ -227,4 +237,5 @@ def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFra
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``exact_groups`` of all documents."""
     return exact_groups(documents(spark, sf_dir))

@@ -146,4 +146,5 @@ def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, perm
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fingerprints`` of all documents."""
     return fingerprints(documents(spark, sf_dir))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import buffers, slices
 from corpusloom.llm.linear_features import column, gram_matrix, remainder, sample, texts_of
-from corpusloom.llm.runtime import documents
+from corpusloom.llm.runtime import documents, unpacked, whole_row
 
 ORDERS = (1, 2, 3)
 BITS = 12
@@ -148,15 +148,15 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language can't be told: no letter in the text, or ambiguous.
 
-    Each row goes or stays by its own text, also where a doc_id is absent or repeats. Where
-    nothing was learned, no row stays.
+    Each row goes or stays by its own text, also where a doc_id is absent or repeats; null, empty and
+    blank texts go. Where nothing was learned, no row stays; an empty table gives an empty result.
+    Other columns are kept under any names.
     """
     model = train(docs)
     if model is None:
         return docs.where(F.lit(False))
-    names = docs.columns
     text = F.coalesce("text", F.lit(""))
-    wide = docs.withColumns({"_text": text, "_letters": text.rlike(r"\p{L}")})
+    wide = docs.select(whole_row(docs).alias("row"), text.alias("_text"), text.rlike(r"\p{L}").alias("_letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,11 +167,12 @@ def keep_identified(docs: DataFrame) -> DataFrame:
                     end = min(begin + 128, last)
                     x = gram_matrix(data[offsets[begin] : offsets[end]], offsets[begin : end + 1] - offsets[begin], ORDERS, BITS)
                     stays[begin:end] &= decode(model, x)[2] >= AMBIGUOUS
-            yield batch.select(names).filter(pa.array(stays))
+            yield batch.select(["row"]).filter(pa.array(stays))
 
-    return wide.mapInArrow(run, docs.schema)
+    return unpacked(wide.mapInArrow(run, wide.select("row").schema), docs.columns)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``identify`` for all documents by the model of their own ``train``."""
     docs = documents(spark, sf_dir)
     return identify(docs, train(docs))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, dense_ids, documents, parts, whole_number
+from corpusloom.llm.runtime import cut, dense_ids, documents, parts, unpacked, whole_number, whole_row
 
 MOST = 3
 FAN = 16
@@ -162,10 +162,10 @@ def mixed(docs: DataFrame) -> DataFrame:
 def take(docs: DataFrame) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; documents not taken go.
 
-    Rows of one id, source and size share their copies as evenly as may be.
+    Rows of one id, source and size share their copies as evenly as may be. Documents without a word
+    go; null is a source of its own; rows without doc_id count like others. An empty table gives an
+    empty result; all columns are kept under any names.
     """
-    size = word_count(F.col("text"))
-
     def keys(n: F.Column) -> dict[str, F.Column]:
         """The three values without nulls, so that the join and the numbering share one shuffle."""
         return {
@@ -173,14 +173,16 @@ def take(docs: DataFrame) -> DataFrame:
             "_given": F.col("doc_id").isNotNull().cast("int") * 2 + F.col("source").isNotNull().cast("int"), "_size": n,
         }
 
+    size = word_count(F.col("text"))
     names = list(keys(size))
     counts = mixed(docs).withColumns(keys(F.col("size"))).groupBy(*names).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    joined = docs.withColumns(keys(size)).join(counts, names)
-    place = F.row_number().over(Window.partitionBy(*names).orderBy("text"))
+    held = docs.select(*(c.alias(n) for n, c in keys(size).items()), F.col("text").alias("_text"), whole_row(docs).alias("row"))
+    place = F.row_number().over(Window.partitionBy(*names).orderBy("_text"))
     each = F.floor(F.col("_copies") / F.col("_rows")) + (place <= F.col("_copies") % F.col("_rows")).cast("int")
-    numbered = joined.withColumn("_each", each.cast("int")).where("_each > 0")
-    return numbered.withColumn("_k", F.explode(F.array_repeat(F.lit(1), F.col("_each")))).select(*docs.columns)
+    numbered = held.join(counts, names).withColumn("_each", each.cast("int")).where("_each > 0")
+    return unpacked(numbered.select("row", F.explode(F.array_repeat(F.lit(1), F.col("_each")))), docs.columns)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mixed`` for all documents."""
     return mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
