@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 
 #: Most bytes of an Arrow batch, on either side of the pipe to a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python workers: rows are whole texts, and the default batch holds 64 MB of them."""
+    """Bound the memory of Python workers: rows are whole texts, and the default batch holds 64 MB of them, as much again in the JVM beside its heap."""
     if int(spark.conf.get(_BATCH, f"{64 << 20}b").rstrip("b")) > BATCH_BYTES:
         spark.conf.set(_BATCH, BATCH_BYTES)
 
