@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, dense_ids, documents, parts, whole_number
+from corpusloom.llm.runtime import cut, dense_ids, documents, parts, tidy, whole_number
 
 ROLES = ("system", "user", "assistant")
 START, AFTER_SYSTEM, AFTER_USER, AFTER_ASSISTANT = range(4)
@@ -157,7 +157,7 @@ def formatted(turns: DataFrame) -> DataFrame:
     cell = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("cost", pa.int64()), ("tie", pa.int64()), ("made", pa.int64())])
     matrix = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("cells", pa.list_(cell))])
     dealt = rows.select("block", "conv_id", "turn", "role", "place").repartition(n, "block").sortWithinPartitions("block", "place")
-    steps = dealt.mapInArrow(matrices, "conv_id bigint, block bigint, cells array<struct<a:int,b:int,cost:bigint,tie:bigint,made:bigint>>")
+    steps = dealt.mapInArrow(tidy(matrices), "conv_id bigint, block bigint, cells array<struct<a:int,b:int,cost:bigint,tie:bigint,made:bigint>>")
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[dict] = []
@@ -184,7 +184,7 @@ def formatted(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, schema=fixed)
 
     fixed = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("enter", pa.int32()), ("leave", pa.int32()), ("made", pa.int64()), ("ends", pa.bool_())])
-    states = steps.repartition(n, "conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(chain, "conv_id bigint, block bigint, enter int, leave int, made bigint, ends boolean")
+    states = steps.repartition(n, "conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(tidy(chain), "conv_id bigint, block bigint, enter int, leave int, made bigint, ends boolean")
     states = cut(states.withColumnRenamed("conv_id", "_conv").withColumnRenamed("block", "_block"))
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +208,7 @@ def formatted(turns: DataFrame) -> DataFrame:
 
     wide = rows.join(states, rows["conv_id"].eqNullSafe(states["_conv"]) & (rows["block"] == states["_block"])).drop("_conv", "_block")
     wide = wide.repartition(n, "block").sortWithinPartitions("block", "place")
-    return wide.mapInArrow(render, "conv_id bigint, turn bigint, out_turn bigint, part bigint, role string, action string, rendered string")
+    return wide.mapInArrow(tidy(render), "conv_id bigint, turn bigint, out_turn bigint, part bigint, role string, action string, rendered string")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import links
 from corpusloom.llm.blocks import U, buffers, mix, slices
-from corpusloom.llm.runtime import cut, documents, unpacked, whole_number, whole_row
+from corpusloom.llm.runtime import cut, documents, tidy, unpacked, whole_number, whole_row
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -137,7 +137,7 @@ def split_further(docs: DataFrame):
                         a, b, c = zip(*out)
                         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["node", "middle", "last"])
 
-        paths = cut(wide.mapInArrow(run, "node bigint, middle bigint, last bigint").distinct())
+        paths = cut(wide.mapInArrow(tidy(run), "node bigint, middle bigint, last bigint").distinct())
         small, large = links.split_by_size(paths.select("node", F.col("middle").alias("bucket")).distinct())
         if large.isEmpty():
             return small, large

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import buffers
-from corpusloom.llm.runtime import cut, documents, parts, whole_number
+from corpusloom.llm.runtime import cut, documents, parts, tidy, whole_number
 
 MEMTABLE = 50_000
 FILTER_BITS = 16
@@ -169,9 +169,9 @@ def index(digests: DataFrame, shards: int, memtable_rows: int = MEMTABLE) -> Dat
             yield pa.RecordBatch.from_arrays(columns, ["digest", "keep_id", "n"])
 
     n = parts(digests.sparkSession)
-    runs = digests.mapInArrow(build, "shard int, run bigint, digest binary, keep bigint, n bigint, filter binary")
+    runs = digests.mapInArrow(tidy(build), "shard int, run bigint, digest binary, keep bigint, n bigint, filter binary")
     dealt = runs.repartition(n, "shard").sortWithinPartitions("shard", "run", "digest")
-    return dealt.mapInArrow(merge, "digest binary, keep_id bigint, n bigint")
+    return dealt.mapInArrow(tidy(merge), "digest binary, keep_id bigint, n bigint")
 
 
 def exact_groups(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = MEMTABLE) -> DataFrame:
@@ -192,7 +192,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = M
             )
 
     base = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
-    known = cut(base.mapInArrow(digests, "doc_id bigint, digest binary, text_sha256 string"))
+    known = cut(base.mapInArrow(tidy(digests), "doc_id bigint, digest binary, text_sha256 string"))
     shards = max(16, parts(docs.sparkSession) * 2, known.count() // SHARD_ROWS)
     entries = index(known.select("doc_id", "digest"), shards, memtable_rows).where("n > 1")
     hits = cut(entries)
@@ -230,10 +230,10 @@ def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFra
             yield batch.filter(pa.array(same))
 
     ids = members.where(F.col("doc_id").isNotNull()).select("doc_id", "digest", "keep_id")
-    texts = ids.join(base, "doc_id").mapInArrow(own, "doc_id bigint, digest binary, keep_id bigint, raw binary")
+    texts = ids.join(base, "doc_id").mapInArrow(tidy(own), "doc_id bigint, digest binary, keep_id bigint, raw binary")
     texts = cut(texts)
     kept = cut(texts.where("doc_id = keep_id").groupBy("digest").agg(F.min("raw").alias("kept_raw")))
-    return cut(texts.join(kept, "digest").mapInArrow(run, "digest binary, doc_id bigint"))
+    return cut(texts.join(kept, "digest").mapInArrow(tidy(run), "digest binary, doc_id bigint"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import links
 from corpusloom.llm.blocks import MinHash, buffers, shingles, slices, words
-from corpusloom.llm.runtime import documents, parts, whole_number
+from corpusloom.llm.runtime import documents, parts, tidy, whole_number
 
 PERMUTATIONS = 128
 BANDS = 25  # of five values each: a pair at 0.8 shares no band in 0.005 % of draws
@@ -125,7 +125,7 @@ def fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS) -> DataFrame
         )
 
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return successors(docs).mapInArrow(run, schema)
+    return successors(docs).mapInArrow(tidy(run), schema)
 
 
 def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, permutations: int = PERMUTATIONS) -> DataFrame:

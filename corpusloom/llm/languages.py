@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import buffers, slices
 from corpusloom.llm.linear_features import column, gram_matrix, remainder, sample, texts_of
-from corpusloom.llm.runtime import documents, unpacked, whole_row
+from corpusloom.llm.runtime import documents, tidy, unpacked, whole_row
 
 ORDERS = (1, 2, 3)
 BITS = 12
@@ -142,7 +142,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = texts_of(docs).withColumns({"held_out": remainder(F.col("doc_id"), 3) == 1, "letters": F.col("text").rlike(r"\p{L}")})
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(NONE).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous"))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
                     stays[begin:end] &= decode(model, x)[2] >= AMBIGUOUS
             yield batch.select(["row"]).filter(pa.array(stays))
 
-    return unpacked(wide.mapInArrow(run, wide.select("row").schema), docs.columns)
+    return unpacked(wide.mapInArrow(tidy(run), wide.select("row").schema), docs.columns)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

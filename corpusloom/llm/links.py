@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import MinHash, U, buffers, mix, shingles, slices, words
-from corpusloom.llm.runtime import BROADCAST_ROWS, cut, parts, small_side, whole_number
+from corpusloom.llm.runtime import BROADCAST_ROWS, cut, parts, small_side, tidy, whole_number
 
 SMALL = 32
 BLOCK = 512
@@ -104,7 +104,7 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
                 )
 
     rows = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    done = cut(rows.mapInArrow(run, "doc_id bigint, set_key binary, size bigint, sketch binary, keys array<bigint>"))
+    done = cut(rows.mapInArrow(tidy(run), "doc_id bigint, set_key binary, size bigint, sketch binary, keys array<bigint>"))
     one = done.where("size > 0").groupBy("set_key").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"), F.first(F.struct("size", "sketch", "keys")).alias("x")
     )
@@ -142,7 +142,7 @@ def scored(pairs: DataFrame, one: DataFrame, least: float) -> DataFrame:
 
     a = one.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
     b = one.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint, same double")
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(tidy(run), "u bigint, v bigint, same double")
 
 
 def tight_pairs(small: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
@@ -173,7 +173,7 @@ def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[list[DataF
             same = equal_values(batch.column("a"), batch.column("sketch")) / SKETCH
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(same)], [*names, "same"])
 
-    alike = cut(star.mapInArrow(run, "bucket bigint, u bigint, node bigint, size bigint, sketch binary, same double"))
+    alike = cut(star.mapInArrow(tidy(run), "bucket bigint, u bigint, node bigint, size bigint, sketch binary, same double"))
     pairs = alike.select("u", F.col("node").alias("v"), "same")
     edges = [pairs.where(F.col("same") >= tight(threshold)).select("u", "v")]
     gone, others = pairs.where(F.col("same") >= LEAVES), pairs.where((F.col("same") >= joins(threshold)) & (F.col("same") < tight(threshold)))
@@ -220,7 +220,7 @@ def beside(gone: DataFrame, others: DataFrame, one: DataFrame, threshold: float)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
     n = parts(one.sparkSession)
-    return dealt.repartition(n, "u", "i", "j").sortWithinPartitions("u", "i", "j", "side").mapInArrow(run, "u bigint, v bigint")
+    return dealt.repartition(n, "u", "i", "j").sortWithinPartitions("u", "i", "j", "side").mapInArrow(tidy(run), "u bigint, v bigint")
 
 
 def block_edges(left: DataFrame, threshold: float) -> DataFrame:
@@ -249,7 +249,7 @@ def block_edges(left: DataFrame, threshold: float) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
 
     n = parts(left.sparkSession)
-    return dealt.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "u bigint, v bigint")
+    return dealt.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(tidy(run), "u bigint, v bigint")
 
 
 def block_pairs() -> F.Column:
@@ -317,7 +317,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = cut(edges.select("u", "v").where("u <> v"))
     few = max(1, -(-now.count() // EDGES))
-    own = cut(now.coalesce(few).mapInArrow(contracted, "node bigint, root bigint"))
+    own = cut(now.coalesce(few).mapInArrow(tidy(contracted), "node bigint, root bigint"))
     if few == 1:
         return own
     now = cut(own.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).distinct())
@@ -351,7 +351,7 @@ def with_text(chosen: DataFrame, docs: DataFrame) -> DataFrame:
     ids = cut(chosen.where("doc_id is not null").select("doc_id").distinct())
     if ids.count() <= BROADCAST_ROWS:  # then the other texts needn't move
         texts = texts.join(F.broadcast(ids), "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
-    nameless = texts.where("doc_id is null").select("text").mapInArrow(keyed, "set_key binary, text string").dropDuplicates(["set_key"])
+    nameless = texts.where("doc_id is null").select("text").mapInArrow(tidy(keyed), "set_key binary, text string").dropDuplicates(["set_key"])
     return chosen.join(texts, "doc_id").unionByName(chosen.where("doc_id is null").join(nameless, "set_key"))
 
 
@@ -376,7 +376,7 @@ def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: floa
                 yield part.filter(same)
 
     with_sets = with_text(placed, docs).select("node", "root", "blocks", "own", "weight", "set_key", "text")
-    with_sets = with_sets.mapInArrow(sets, "node bigint, root bigint, blocks bigint, own bigint, weight bigint, set binary")
+    with_sets = with_sets.mapInArrow(tidy(sets), "node bigint, root bigint, blocks bigint, own bigint, weight bigint, set binary")
     dealt = with_sets.withColumn("p", block_pairs()).select("node", "own", "weight", "set", "root", "p.i", "p.j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +402,7 @@ def verified(groups: DataFrame, docs: DataFrame, one: DataFrame, threshold: floa
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["node", "links", "root"])
 
     n = parts(spark)
-    return dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "node bigint, links bigint, root bigint")
+    return dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(tidy(compare), "node bigint, links bigint, root bigint")
 
 
 def compared(held: dict[int, tuple], key: tuple | None, threshold: float) -> list[tuple]:

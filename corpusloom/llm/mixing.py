@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, dense_ids, documents, parts, unpacked, whole_number, whole_row
+from corpusloom.llm.runtime import cut, dense_ids, documents, parts, tidy, unpacked, whole_number, whole_row
 
 MOST = 3
 FAN = 16
@@ -114,7 +114,7 @@ def reduce_level(table: DataFrame, level: int, last: bool) -> DataFrame:
 
     n = parts(table.sparkSession)
     dealt = table.repartition(n, "group", "source").sortWithinPartitions("group", "source", "key")
-    return dealt.mapInArrow(run, "group bigint, source string, key bigint, words bigint, p double")
+    return dealt.mapInArrow(tidy(run), "group bigint, source string, key bigint, words bigint, p double")
 
 
 def mixed(docs: DataFrame) -> DataFrame:

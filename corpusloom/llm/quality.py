@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import U, buffers, slices
 from corpusloom.llm.linear_features import STRUCTURE, column, remainder, sample, structure, texts_of
-from corpusloom.llm.runtime import documents, whole_number
+from corpusloom.llm.runtime import documents, tidy, whole_number
 
 BITS = 14
 RANK = 4
@@ -151,7 +151,7 @@ def quality(docs: DataFrame, machine: Machine | None) -> DataFrame:
     rows = texts_of(docs).withColumn("held_out", F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) == 0))
     if machine is None:
         return rows.select("doc_id", "held_out", F.lit(0.5).alias("score"), F.lit(1).alias("predicted"))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import U, buffers, mix, slices, words
-from corpusloom.llm.runtime import cut, documents, small_side, whole_number
+from corpusloom.llm.runtime import cut, documents, small_side, tidy, whole_number
 from corpusloom.llm.units import cut_out, report, with_spans
 
 PASSAGE = 50
@@ -107,7 +107,7 @@ def all_segments(docs: DataFrame) -> DataFrame:
                     columns = (least[part], mark[part], ids[first + row[part]], begin[part].astype(np.int32), count[part].astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
 
-    return docs.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+    return docs.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin int, n int")
 
 
 def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -138,7 +138,7 @@ def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                     columns = (least, marks, np.full(len(at), doc_id, np.int64), at.astype(np.int32), np.ones(len(at), np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
 
-    return wide.mapInArrow(run, "least bigint, mark bigint, doc_id bigint, begin int, n int")
+    return wide.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin int, n int")
 
 
 def later_passages(docs: DataFrame) -> DataFrame:

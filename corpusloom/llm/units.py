@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.runtime import whole_number, whole_row
+from corpusloom.llm.runtime import tidy, whole_number, whole_row
 
 
 def spans(text: str) -> Iterator[tuple[int, int, str]]:
@@ -52,7 +52,7 @@ def lines(docs: DataFrame, normalise) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.binary()), pa.array(d, pa.int32())], ["doc_id", "pos", "digest", "words"])
 
     rows = docs.select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, pos int, digest binary, words int")
+    return rows.mapInArrow(tidy(run), "doc_id bigint, pos int, digest binary, words int")
 
 
 def without(text: str, dropped: set[int]) -> tuple[str, list[tuple[int, int]]]:
@@ -110,7 +110,7 @@ def cut_out(docs: DataFrame, marks: DataFrame, remove: Callable[[str, list], tup
             whole = pa.StructArray.from_arrays(fields, fields=list(rows.type))
             yield pa.RecordBatch.from_arrays([whole, pa.array(gone, kind), pa.array(blank)], ["row", "removed", "blank"])
 
-    return wide.mapInArrow(run, schema)
+    return wide.mapInArrow(tidy(run), schema)
 
 
 def with_spans(done: DataFrame, docs: DataFrame) -> DataFrame:
