@@ -134,12 +134,12 @@ def chunk_dedup(spark, sf_dir):
     return first.select("doc_id", F.col("x.pos").cast("bigint").alias("pos"), "x.line")
 
 
-_COMMON = "n AS (SELECT greatest(10, (count(*) * 0.01)::BIGINT) AS least FROM documents), common AS (SELECT md5(line) AS h, count(DISTINCT doc_id) AS df FROM lines WHERE length(line) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= (SELECT least FROM n))"
+_COMMON = "n AS (SELECT greatest(10, count(*) // 100) AS least FROM documents), common AS (SELECT md5(line) AS h, count(DISTINCT doc_id) AS df FROM lines WHERE length(line) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= (SELECT least FROM n))"
 
 
 def _common(spark, sf_dir):
     lines = _lines(spark, sf_dir).where(F.length("line") >= 20).select(F.md5("line").alias("h"), "doc_id").distinct()
-    least = table(spark, sf_dir, "documents").agg(F.greatest(F.lit(10), F.bround(F.count(F.lit(1)) * F.lit(0.01)).cast("bigint")).alias("least"))
+    least = table(spark, sf_dir, "documents").agg(F.greatest(F.lit(10), F.floor(F.count(F.lit(1)) / 100).cast("bigint")).alias("least"))
     counts = lines.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
     return counts.join(F.broadcast(least), F.col("df") >= F.col("least")).select("h", "df")  # one row is broadcast
 

@@ -69,8 +69,8 @@ def profile_gates(profile: Profile, text: Column, lang: Column) -> list[tuple[st
 def exact_keep_first(rows: DataFrame, key: Column, order: str) -> DataFrame:
     """``rows`` with ``duplicate_of``: the first row's ``order`` value in each key group, null on the first row itself.
 
-    A group's first is an aggregate joined back, so no task sorts a whole group.
+    A group's first is an aggregate joined back, so no task sorts a whole group. Null is a key like others.
     """
-    keyed = rows.withColumn("_key", F.sha2(key, 256))
+    keyed = rows.withColumn("_key", F.coalesce(F.sha2(key, 256), F.lit("")))
     firsts = keyed.groupBy("_key").agg(F.min(order).alias("_first"))
     return keyed.join(firsts, "_key").withColumn("duplicate_of", F.when(F.col(order) != F.col("_first"), F.col("_first"))).drop("_key", "_first")

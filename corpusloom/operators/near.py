@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -13,6 +14,14 @@ from pyspark.sql.types import ArrayType, LongType
 from corpusloom.functions import text as X
 
 
+def shared_folder(spark) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where a session of one process has none, as in tests."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
+        raise RuntimeError("spark.checkpoint.dir is unset; executors need a folder that they share")
+    return where or tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def materialised(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the session's checkpoint folder; a temporary one is set only if there is none.
 
@@ -21,7 +30,7 @@ def materialised(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+        context.setCheckpointDir(shared_folder(spark))
     done = df.checkpoint(eager=True)._jdf
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)
 

@@ -228,10 +228,16 @@ def title_theta(spark, sf_dir):
 
 @query()
 def title_fuzzy_top3(spark, sf_dir):
-    """For each title the three others most like it, at a ratio of 0.9 or more; such titles share three characters in a row."""
-    titles = _titles(spark, sf_dir).select("title", F.explode(_grams(F.col("title"))).alias("g"))
+    """For each title the three others most like it, at a ratio of 0.9 or more."""
+    return fuzzy_top3(_titles(spark, sf_dir))
+
+
+def fuzzy_top3(titles):
+    """title, other, score, k: the three most alike ``titles`` at 0.9 or more; such titles share three characters in a row, and the
+    shorter one alone bounds what can match."""
+    titles = titles.select("title", F.explode(_grams(F.col("title"))).alias("g"))
     a, b = titles.alias("a"), titles.alias("b")
-    near = (F.col("a.g") == F.col("b.g")) & (F.col("a.title") != F.col("b.title")) & (F.abs(F.length("a.title") - F.length("b.title")) <= 0.2 * F.length("a.title"))
+    near = (F.col("a.g") == F.col("b.g")) & (F.col("a.title") != F.col("b.title")) & (2 * F.least(F.length("a.title"), F.length("b.title")) >= 0.9 * (F.length("a.title") + F.length("b.title")))
     pairs = a.join(b, near).select(F.col("a.title").alias("title"), F.col("b.title").alias("other")).distinct()
 
     @F.pandas_udf("double")
@@ -274,17 +280,22 @@ def validation_report(spark, sf_dir):
 
 @query("""WITH RECURSIVE e AS (SELECT 'c' || c_custkey AS a, 'n' || c_nationkey AS b FROM customer UNION SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
 up AS (SELECT a, b, 1 AS depth FROM e UNION SELECT up.a, e.b, depth + 1 FROM up JOIN e ON e.a = up.b WHERE depth < 20)
-SELECT a, count(DISTINCT b) AS ancestors, max(depth)::INT AS depth, bool_or(a = b) AS cyclic FROM up GROUP BY a""")
+SELECT a, count(*) AS ancestors, max(depth)::INT AS depth, bool_or(a = b) AS cyclic FROM (SELECT a, b, min(depth) AS depth FROM up GROUP BY a, b) GROUP BY a""")
 def lineage_acyclic(spark, sf_dir):
     """Ancestors of every node of a lineage graph, level by level; a node that is its own ancestor is on a cycle."""
     edges = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("a"), F.concat(F.lit("n"), "c_nationkey").alias("b"))
     edges = materialised(edges.union(table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"))).distinct())
-    level = edges.withColumn("depth", F.lit(1))
-    seen = level
-    for depth in range(2, 21):
-        level = materialised(level.select("a", F.col("b").alias("m")).join(edges.select(F.col("a").alias("m"), "b"), "m").select("a", "b", F.lit(depth).alias("depth")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti"))
-        if level.isEmpty():
-            break
+    return ancestors(edges)
+
+
+def ancestors(edges):
+    """a, ancestors, depth (of the farthest one, by its shortest path), cyclic for every node ``a`` of ``edges`` (a, b), to a fixpoint."""
+    seen = level = edges.withColumn("depth", F.lit(1))
+    depth = 1
+    while not level.isEmpty():
+        depth += 1
+        ahead = level.select("a", F.col("b").alias("m")).join(edges.select(F.col("a").alias("m"), "b"), "m")
+        level = materialised(ahead.select("a", "b", F.lit(depth).alias("depth")).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti"))
         seen = seen.unionByName(level)
     return seen.groupBy("a").agg(F.count_distinct("b").alias("ancestors"), F.max("depth").alias("depth"), F.bool_or(F.col("a") == F.col("b")).alias("cyclic"))
 
