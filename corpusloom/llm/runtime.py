@@ -83,6 +83,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: smaller than a checkpoint, and read by columns."""
+    where = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(where)
+    return df.sparkSession.read.parquet(where)
+
+
 def parts(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import U, buffers, mix, slices, words
-from corpusloom.llm.runtime import cut, documents, small_side, tidy, whole_number
+from corpusloom.llm.runtime import BROADCAST_ROWS, cut, documents, small_side, stored, tidy, whole_number
 from corpusloom.llm.units import cut_out, report, with_spans
 
 PASSAGE = 50
@@ -122,6 +122,8 @@ def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
 def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The windows of the ``chosen`` segments: least, mark (now of the window), doc_id, begin, n (1)."""
     lists = cut(chosen.groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n", "least")).alias("chosen")))
+    if lists.count() <= BROADCAST_ROWS:  # then the other texts needn't move
+        docs = docs.join(F.broadcast(lists.select("doc_id")), "doc_id", "left_semi")
     wide = lists.join(docs, "doc_id").select("doc_id", "chosen", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +146,9 @@ def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 def later_passages(docs: DataFrame) -> DataFrame:
     """doc_id and marks (begin, n): where the units begin that equal an earlier one by (doc_id, position)."""
     rows = docs.where("doc_id is not null").select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found, firsts = later(cut(all_segments(rows)))
+    every = stored(all_segments(rows), "segments")
+    often = cut(every.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
+    found, firsts = later(cut(every.join(small_side(often), "least").select("least", "mark", "doc_id", "begin", "n")))
     shared = cut(firsts.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
     single, _ = later(cut(opened_windows(rows, firsts.join(small_side(shared), "least"))))
     return found.unionByName(single).groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n")).alias("marks"))
