@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.runtime import cut, documents, ordered_ids, small_side, unpacked
+from corpusloom.llm.runtime import cut, documents, fitting, ordered_ids, small_side, unpacked
 from corpusloom.llm.units import cut_out, lines, report, spans, with_spans, without
 
 #: Words of the shortest run that counts, whatever the number of its lines.
@@ -43,10 +43,10 @@ def levels(docs: DataFrame) -> list[tuple[DataFrame, int]]:
     while rows := level.count():
         found.append((level, rows))
         ahead = small_side(level.select("doc_id", (F.col("pos") - depth).alias("pos"), F.col("rank").alias("then")), rows)
-        both = cut(level.drop("first").join(ahead, ["doc_id", "pos"]))
+        both = cut(fitting(level.drop("first").join(ahead, ["doc_id", "pos"]), rows))
         pairs = both.groupBy("rank", "then").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        named = small_side(ordered_ids(pairs, F.col("rank"), F.col("then"), name="next"), rows)
-        level = cut(both.join(named, ["rank", "then"]).select("doc_id", "pos", F.col("next").alias("rank"), "first"))
+        named = small_side(ordered_ids(pairs, F.col("rank"), F.col("then"), name="next", most=rows // 2), rows)
+        level = cut(fitting(both.join(named, ["rank", "then"]).select("doc_id", "pos", F.col("next").alias("rank"), "first"), rows))
         depth *= 2
     return found
 
@@ -70,7 +70,7 @@ def longest_earlier(found: list[tuple[DataFrame, int]]) -> DataFrame | None:
             fresh = fresh.join(small_side(deeper, found[level + 1][1]), ["doc_id", "pos"], "left_anti")
         now = fresh if now is None else now.unionByName(fresh)
         if level:
-            now = split(cut(now), found[level][1], *found[level - 1], depth // 2)
+            now = split(cut(fitting(now, found[level][1])), found[level][1], *found[level - 1], depth // 2)
     return now
 
 
@@ -78,11 +78,12 @@ def split(now: DataFrame, most: int, ranks: DataFrame, rows: int, step: int) ->
     """One level of ``longest_earlier`` over at most ``most`` suffixes: ``ranks``, of so many ``rows``, are those by ``step`` lines."""
     src = ["src_doc", "src_pos", "n"]
     heads = now.select(F.col("src_doc").alias("doc_id"), F.col("src_pos").alias("pos"), *src).distinct()
+    heads = fitting(heads, most)
     there = small_side(ranks.select("doc_id", F.col("pos").alias("at"), "rank"), rows)
     every = now.select("doc_id", "pos", *src).unionByName(heads.select("doc_id", "pos", *src)).withColumn("at", F.col("pos") + F.col("n"))
-    every = cut(every.join(there, ["doc_id", "at"], "left").drop("at"))
+    every = cut(fitting(every.join(there, ["doc_id", "at"], "left").drop("at"), 2 * most))
     groups = every.where("rank is not null").groupBy(*src, "rank").agg(F.min(F.struct("doc_id", "pos")).alias("head"), F.count(F.lit(1)).alias("members"))
-    named = small_side(cut(groups.where("members > 1").drop("members")), most)
+    named = small_side(cut(fitting(groups.where("members > 1").drop("members"), most)), most)
     joined = every.where("doc_id <> src_doc or pos <> src_pos").join(named, [*src, "rank"], "left")
     on = F.col("head").isNotNull() & ((F.col("doc_id") != F.col("head.doc_id")) | (F.col("pos") != F.col("head.pos")))
     return joined.select(

@@ -115,13 +115,26 @@ def unpacked(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*(F.col("row").getField(c).alias(c) for c in names))
 
 
-def ordered_ids(df: DataFrame, *order: Column, name: str) -> DataFrame:
+#: Rows of a few numbers each that make a task of their own.
+TASK_ROWS = 20_000
+
+
+def fitting(df: DataFrame, most: int) -> DataFrame:
+    """``df``, of at most so many rows of a few numbers, in no more partitions than they need."""
+    few = max(1, -(-most // TASK_ROWS))
+    return df.coalesce(few) if few < parts(df.sparkSession) else df
+
+
+def ordered_ids(df: DataFrame, *order: Column, name: str, most: int | None = None) -> DataFrame:
     """``df`` with a bigint ``name`` that grows with ``order``; gaps are allowed.
 
     Range partitions hold increasing keys, and ``monotonically_increasing_id`` grows
-    with the partition and with the row inside it, so no task sees all rows.
+    with the partition and with the row inside it, so no task sees all rows, unless they
+    are known to be at most ``most``, which one task sorts.
     """
     n = parts(df.sparkSession)
+    if most is not None and most <= TASK_ROWS:
+        return cut(df.coalesce(1).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return cut(ranged.withColumn(name, F.monotonically_increasing_id()))
 
