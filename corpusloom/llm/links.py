@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import MinHash, U, buffers, mix, shingles, slices, words
-from corpusloom.llm.runtime import BROADCAST_ROWS, cut, parts, small_side, tidy, whole_number
+from corpusloom.llm.runtime import BROADCAST_ROWS, cut, fitting, parts, small_side, tidy, whole_number
 
 SMALL = 32
 BLOCK = 512
@@ -115,7 +115,8 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
 def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of ``members`` (bucket, node and others) in buckets with 2 to SMALL nodes, and in larger ones, materialised."""
     counts = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    sized = cut(members.join(small_side(counts), "bucket"))
+    buckets, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    sized = cut(fitting(members.join(small_side(counts, buckets), "bucket"), rows))
     return sized.where(F.col("n") <= SMALL).drop("n"), sized.where(F.col("n") > SMALL).drop("n")
 
 
