@@ -119,7 +119,7 @@ def descend(values: np.ndarray, start: np.ndarray) -> list[tuple[int, int | None
 def split_further(docs: DataFrame):
     """How ``links.resolve`` splits buckets of the first depth that are too large."""
 
-    def deeper(large: DataFrame, one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def deeper(large: DataFrame, one: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         lists = large.groupBy("node").agg(F.collect_set("bucket").alias("start"))
         wide = links.with_text(lists.join(one.select("node", "doc_id", "set_key"), "node"), docs).select("node", "set_key", "start", "text")
 
@@ -138,12 +138,12 @@ def split_further(docs: DataFrame):
                         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["node", "middle", "last"])
 
         paths = cut(wide.mapInArrow(tidy(run), "node bigint, middle bigint, last bigint").distinct())
-        small, large = links.split_by_size(paths.select("node", F.col("middle").alias("bucket")).distinct())
+        small, middle, large = links.split_by_size(paths.select("node", F.col("middle").alias("bucket")).distinct())
         if large.isEmpty():
-            return small, large
+            return small, middle, large
         rest = large.select("node", F.col("bucket").alias("middle")).join(paths.where("last is not null"), ["node", "middle"])
-        more, large = links.split_by_size(rest.select("node", F.col("last").alias("bucket")).distinct())
-        return small.unionByName(more), large
+        more, some, large = links.split_by_size(rest.select("node", F.col("last").alias("bucket")).distinct())
+        return small.unionByName(more), middle.unionByName(some), large
 
     return deeper
 

@@ -4,7 +4,8 @@ The way is the same for every kind of bucket:
 
 1. Documents with equal shingle sets become one node with a weight.
 2. Nodes of a bucket of at most SMALL nodes are paired, and pairs whose sketches rule out
-   the threshold are dropped. What passes is a tight edge.
+   the threshold are dropped. What passes is a tight edge. One task compares all sketches of
+   a bucket of up to BLOCK nodes and gives a spanning forest of its tight edges.
 3. In a larger bucket every node is compared with the smallest one, the centre. Those very
    like it (``leaves``) are joined to it and leave the bucket with it. By the triangle
    inequality of sketches, whatever is tight to one that leaves is at least ``joins`` like
@@ -112,12 +113,12 @@ def nodes(docs: DataFrame, keys: Keys) -> tuple[DataFrame, DataFrame]:
     return done.select("doc_id", "set_key"), one
 
 
-def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``members`` (bucket, node and others) in buckets with 2 to SMALL nodes, and in larger ones, materialised."""
+def split_by_size(members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of ``members`` (bucket, node and others) in buckets with 2 to SMALL nodes, up to BLOCK, and in larger ones, materialised."""
     counts = cut(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     buckets, rows = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     sized = cut(fitting(members.join(small_side(counts, buckets), "bucket"), rows))
-    return sized.where(F.col("n") <= SMALL).drop("n"), sized.where(F.col("n") > SMALL).drop("n")
+    return tuple(sized.where(c).drop("n") for c in (F.col("n") <= SMALL, F.col("n").between(SMALL + 1, BLOCK), F.col("n") > BLOCK))
 
 
 def small_pairs(members: DataFrame) -> DataFrame:
@@ -443,32 +444,45 @@ def compared(held: dict[int, tuple], key: tuple | None, threshold: float) -> lis
 def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None, enough: int = 0) -> DataFrame:
     """One row for each document: doc_id, class_id, n_links, set_id.
 
-    ``keys`` gives the buckets of each set. ``deeper`` splits buckets of over SMALL nodes
-    and returns new small and large ones; only nodes in fewer than ``enough`` buckets that
-    aren't large need it, the others' links are found in these. class_id is the smallest doc_id of the documents
+    ``keys`` gives the buckets of each set. ``deeper`` splits buckets of over BLOCK nodes
+    and returns new ones by size; only nodes in fewer than ``enough`` buckets of at most SMALL
+    nodes need larger ones, the others' links are found in these. class_id is the smallest doc_id of the documents
     that links connect, set_id of those with the same set; n_links counts the other
     documents at ``threshold`` or above. Null or empty texts, and texts without a word,
     have no links and their own class; rows that repeat a doc_id each get a row.
     """
     everyone, one = nodes(docs, keys)
     marks = one.select("node", "size", "sketch")
-    small, large = split_by_size(one.select("node", F.explode(F.array_distinct("keys")).alias("bucket")))
+    small, middle, large = split_by_size(one.select("node", F.explode(F.array_distinct("keys")).alias("bucket")))
     edges: list[DataFrame] = []
-    if deeper is not None and not large.isEmpty():
-        own = large.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+    blocks = [middle.join(marks, "node")]
+    beyond = middle.unionByName(large)
+    if deeper is not None and not beyond.isEmpty():
+        own = beyond.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
         needy = one.join(own, "node").where(F.size(F.array_distinct("keys")) - F.size("buckets") < enough)
-        found, rest = strip(cut(needy.select(F.explode("buckets").alias("bucket"), "node", "size", "sketch")), one, threshold)
-        edges += found  # groups of near copies needn't be split further
-        fewer, large = split_by_size(by_size(rest, threshold).select("bucket", "node"))
-        small = small.unionByName(fewer)
+        fewer, middle, large = split_by_size(needy.select(F.explode("buckets").alias("bucket"), "node", "size", "sketch"))
+        small, blocks = small.unionByName(fewer.select("bucket", "node")), [middle]
         if not large.isEmpty():
-            more, large = deeper(large, one)
+            found, rest = strip(large, one, threshold)
+            edges += found  # groups of near copies needn't be split further
+            fewer, middle, large = split_by_size(by_size(rest, threshold))
+            small = small.unionByName(fewer.select("bucket", "node"))
+            blocks.append(middle)
+            large = large.select("bucket", "node")
+        if not large.isEmpty():
+            more, middle, large = deeper(large, one)
             small = small.unionByName(more)
+            blocks.append(middle.distinct().join(marks, "node"))
     if not large.isEmpty():
-        found, rest = strip(large.distinct().join(marks, "node"), one, threshold)
-        fewer, large = split_by_size(rest)
+        found, rest = strip(large.select("bucket", "node").distinct().join(marks, "node"), one, threshold)
+        fewer, middle, large = split_by_size(rest)
         small = small.unionByName(fewer.select("bucket", "node"))
-        edges += [*found, block_edges(large, threshold)]
+        blocks += [middle, large]
+        edges += found
+    for more in blocks[1:]:
+        blocks[0] = blocks[0].unionByName(more)
+    if not blocks[0].isEmpty():
+        edges.append(block_edges(cut(blocks[0].select("bucket", "node", "sketch")), threshold))
     for more in edges[1:]:
         edges[0] = edges[0].union(more)
     near = tight_pairs(small, one, threshold)
