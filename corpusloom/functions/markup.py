@@ -15,7 +15,6 @@ from pyspark.sql.types import ArrayType, StringType
 
 SKIPPED = {"script", "style", "nav", "head", "noscript", "template", "svg", "header", "footer", "aside", "button", "form"}
 BLOCKS = {"p", "div", "section", "article", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "figure", "figcaption", "blockquote", "pre", "dl", "dt", "dd", "main", "body"}
-VOID = {"br", "hr", "img", "meta", "link", "input", "area", "base", "col", "embed", "source", "track", "wbr"}
 MARKS = {"sub": ("_{", "}"), "sup": ("^{", "}")}
 
 
@@ -139,11 +138,19 @@ def html_links(markup: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([links_of_html(m, b) if m is not None and b is not None else [] for m, b in zip(markup, base)])
 
 
+def readable(read, raw: bytes) -> str | None:
+    """What ``read`` makes of a file; null for a broken one, which doesn't fail the others."""
+    try:
+        return read(raw)
+    except (zipfile.BadZipFile, KeyError, TypeError, ElementTree.ParseError):
+        return None
+
+
 @F.pandas_udf(StringType())
 def docx_text(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: text_of_docx(bytes(x)), na_action="ignore")
+    return raw.map(lambda x: readable(text_of_docx, bytes(x)), na_action="ignore")
 
 
 @F.pandas_udf(StringType())
 def xml_text(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: text_of_xml(bytes(x)), na_action="ignore")
+    return raw.map(lambda x: readable(text_of_xml, bytes(x)), na_action="ignore")

@@ -95,6 +95,7 @@ def shingles(words: Column, width: int = 5) -> Column:
 
 
 def quality_hint(chars: Column, words: Column, pages: Column, status: Column) -> Column:
+    # Bounds of characters, words and characters a page.
     return (
         F.when((status != "extracted") | (chars == 0), "not_extractable")
         .when((chars < 500) | (words < 80), "poor")

@@ -114,6 +114,8 @@ def test_documents_of_other_formats(spark, tmp_path):
     xml = b"<a><b>one</b><skip>no</skip><c>two</c>tail</a>"
     found = spark.createDataFrame([(raw, xml)], "d binary, x binary").select(markup.docx_text("d").alias("d"), markup.xml_text("x").alias("x")).first()
     assert found["d"] == "One\na | b\nTwo" and found["x"] == "one\nno\ntwo\ntail"
+    broken = spark.createDataFrame([(b"no zip", b"<a>"), (None, None)], "d binary, x binary").select(markup.docx_text("d"), markup.xml_text("x"))
+    assert [tuple(r) for r in broken.collect()] == [(None, None), (None, None)]
     assert markup.text_of_xml(xml, {"skip"}) == "one\ntwo\ntail"
     assert b"One" in markup.member_of_zip(raw, "document.xml") and markup.member_of_zip(raw, ".png") is None
 
