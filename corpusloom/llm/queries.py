@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusloom.llm.byte_pairs import op11_byte_bpe
 from corpusloom.llm.chats import op10_chat_format
 from corpusloom.llm.chosen_path import op9_jaccard_join
 from corpusloom.llm.exact import op6_exact_dedup
@@ -17,7 +18,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece, op6_exact_dedup, op7_mixing, op8_language_id,
-        op9_jaccard_join, op10_chat_format,
+        op9_jaccard_join, op10_chat_format, op11_byte_bpe,
     )
 }
 
