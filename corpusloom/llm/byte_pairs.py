@@ -37,8 +37,8 @@ from corpusloom.llm.runtime import documents, parts, stored, tidy
 RANKS = "byte_bpe_50k.tiktoken"
 #: Most code points of a text that one task encodes as a whole.
 SEGMENT = 1 << 16
-#: Bytes of a match from which on it is halved, and of a window from which on merging uses a heap.
-LEAF, HEAP = 32, 256
+#: Most bytes of a match that isn't halved, of one whose ids are remembered, and of a window that is merged without a heap.
+LEAF, SHORT, HEAP = 8, 12, 256
 CACHED, PAIRS = 300_000, 2_000_000
 NEVER = 1 << 62
 # The characters of Unicode's White_Space.
@@ -62,6 +62,7 @@ class Codec:
         self.kind_of = regex.compile(r"(\s)|(\p{L})|(\p{N})").match
         self.kinds: dict[str, int] = {}
         self.pairs: dict[int, bool] = {}
+        self.leaves: dict[bytes, list[int]] = {}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -124,10 +125,13 @@ class Codec:
         if not a or not b:
             a += b
             return a
+        if self.fits(a[-1], b[0]):
+            a += b
+            return a
         width = 1
         while True:
             i, j = max(0, len(a) - width), min(len(b), width)
-            middle = self.merged(b"".join([self.tokens[k] for k in (*a[i:], *b[:j])]))
+            middle = self.leaf(b"".join([self.tokens[k] for k in (*a[i:], *b[:j])]))
             if (i == 0 or self.fits(a[i - 1], middle[0])) and (j == len(b) or self.fits(middle[-1], b[j])):
                 del a[i:]
                 a += middle
@@ -135,10 +139,21 @@ class Codec:
                 return a
             width *= 2
 
+    def leaf(self, piece: bytes) -> list[int]:
+        """What merging makes of some bytes, remembered if they are few."""
+        if len(piece) > SHORT:
+            return self.merged(piece)
+        found = self.leaves.get(piece)
+        if found is None:
+            if len(self.leaves) > CACHED:
+                self.leaves.clear()
+            found = self.leaves[piece] = self.merged(piece)
+        return found
+
     def reduced(self, piece: bytes) -> list[int]:
         """What merging makes of a match of any length, by halves."""
         if len(piece) <= LEAF:
-            return self.merged(piece)
+            return list(self.leaf(piece))
         half = len(piece) // 2
         return self.join(self.reduced(piece[:half]), self.reduced(piece[half:]))
 
