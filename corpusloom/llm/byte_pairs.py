@@ -42,7 +42,7 @@ LEAF, SHORT, HEAP = 8, 12, 256
 CACHED, PAIRS = 300_000, 2_000_000
 NEVER = 1 << 62
 # The characters of Unicode's White_Space.
-BLANKS = "\t-\r \x85\xa0  -     　"
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
