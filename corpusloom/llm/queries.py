@@ -11,6 +11,7 @@ from corpusloom.llm.languages import op8_language_id
 from corpusloom.llm.line_runs import op4_line_dedup
 from corpusloom.llm.mixing import op7_mixing
 from corpusloom.llm.pieces import op5_sentencepiece
+from corpusloom.llm.prefix_trie import op12_prefix_trie
 from corpusloom.llm.quality import op3_quality
 from corpusloom.llm.substrings import op2_substring_dedup
 
@@ -18,7 +19,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece, op6_exact_dedup, op7_mixing, op8_language_id,
-        op9_jaccard_join, op10_chat_format, op11_byte_bpe,
+        op9_jaccard_join, op10_chat_format, op11_byte_bpe, op12_prefix_trie,
     )
 }
 
@@ -37,6 +38,12 @@ done AS (SELECT doc_id, count(*) FILTER (cut)::INT AS n_removed, coalesce(sum(le
     coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT cut), '') AS cleaned FROM marked GROUP BY doc_id)
 """
 
+def _crc(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL."""
+    byte = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)), lambda c, b: {byte}), 4294967295)"
+
+
 ORACLES = {
     "op2_substring_dedup": """
 WITH raw AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '\\s*\\S+') AS parts FROM documents),
@@ -82,5 +89,22 @@ reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, m
 classes AS (SELECT doc_id, min(r) AS class_id FROM reach GROUP BY doc_id)
 SELECT c.doc_id, class_id, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(min(c.doc_id) OVER (PARTITION BY s.n, k1, k2, s.n IS NULL, CASE WHEN s.n IS NULL THEN c.doc_id END), c.doc_id) AS set_id
 FROM classes c LEFT JOIN sizes s ON s.doc_id = c.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM mutual GROUP BY a) l ON l.a = c.doc_id
+""",
+    "op12_prefix_trie": f"""
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+marked AS (SELECT *, left(sha256(length(role)::VARCHAR || ':' || role || text), 32) AS k, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w FROM given),
+own AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, role, k) AS ks, list(w ORDER BY turn NULLS FIRST, role, k) AS ws, {_crc("conv_id::VARCHAR")} % 4 AS h FROM marked GROUP BY conv_id),
+rebuilt AS (SELECT a.conv_id, list_concat(coalesce(b.ks[1:a.h], []), a.ks[a.h + 1:]) AS ks, list_concat(coalesce(b.ws[1:a.h], []), a.ws[a.h + 1:]) AS ws
+    FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 20),
+members AS (SELECT conv_id, len(ks) AS n, ks, ws, unnest(range(len(ks) + 1)) AS d FROM rebuilt),
+paths AS (SELECT conv_id, n, d, array_to_string(ks[1:d], '') AS path, CASE WHEN d > 0 THEN array_to_string(ks[1:d - 1], '') END AS up, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w FROM members),
+nodes AS (SELECT path, any_value(up) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM paths GROUP BY path),
+kids AS (SELECT up, count(*) AS n FROM nodes GROUP BY up),
+full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.path),
+tops AS (SELECT *, unnest(range(depth + 1)) AS k FROM full_nodes),
+sums AS (SELECT left(path, 32 * k) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w)::BIGINT AS saved_tokens FROM tops GROUP BY 1)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums ON sums.path = f.path LEFT JOIN nodes p ON p.path = f.up
 """,
 }
