@@ -13,13 +13,14 @@ from corpusloom.llm.mixing import op7_mixing
 from corpusloom.llm.pieces import op5_sentencepiece
 from corpusloom.llm.prefix_trie import op12_prefix_trie
 from corpusloom.llm.quality import op3_quality
+from corpusloom.llm.repairs import op13_structure_repair
 from corpusloom.llm.substrings import op2_substring_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece, op6_exact_dedup, op7_mixing, op8_language_id,
-        op9_jaccard_join, op10_chat_format, op11_byte_bpe, op12_prefix_trie,
+        op9_jaccard_join, op10_chat_format, op11_byte_bpe, op12_prefix_trie, op13_structure_repair,
     )
 }
 
@@ -106,5 +107,37 @@ tops AS (SELECT *, unnest(range(depth + 1)) AS k FROM full_nodes),
 sums AS (SELECT left(path, 32 * k) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w)::BIGINT AS saved_tokens FROM tops GROUP BY 1)
 SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
 FROM full_nodes f JOIN sums ON sums.path = f.path LEFT JOIN nodes p ON p.path = f.up
+""",
+    "op13_structure_repair": f"""
+WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS hit FROM conversations),
+hurt AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE hit WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM given),
+placed AS (SELECT *, row_number() OVER w AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, left(role, 1) AS z,
+    lag(left(role, 1)) OVER w AS z0, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last
+    FROM hurt WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(sha256(text), 32), copy)),
+faults AS (SELECT *, CASE WHEN last = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM placed),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (z0 IS NOT NULL AND z0 || z NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+-- cheapest (cost, audit) from each row on, in the states nothing yet, after s, after u, after a
+togo AS (SELECT conv_id, n AS i, {{'c': 0, 's': ''}} AS v1, {{'c': 10, 's': 'II'}} AS v2, {{'c': 5, 's': 'I'}} AS v3, {{'c': 0, 's': ''}} AS v4 FROM counts
+    UNION ALL
+    SELECT conv_id, i - 1, list_min([w1, {{'c': w3.c + 5, 's': 'I' || w3.s}}, {{'c': w4.c + 10, 's': 'II' || w4.s}}]), list_min([w2, {{'c': w3.c + 5, 's': 'I' || w3.s}}, {{'c': w4.c + 10, 's': 'II' || w4.s}}]),
+        list_min([w3, {{'c': w4.c + 5, 's': 'I' || w4.s}}, {{'c': w3.c + 10, 's': 'II' || w3.s}}]), list_min([w4, {{'c': w3.c + 5, 's': 'I' || w3.s}}, {{'c': w4.c + 10, 's': 'II' || w4.s}}])
+    FROM (SELECT conv_id, i,
+        list_min([{{'c': v1.c + 2, 's': 'D' || v1.s}}, {{'c': v3.c + 1 + e, 's': 'R' || v3.s}}, {{'c': CASE z WHEN 's' THEN v2.c + e WHEN 'u' THEN v3.c + e ELSE 9999999 END, 's': 'K' || CASE z WHEN 's' THEN v2.s ELSE v3.s END}}]) AS w1,
+        list_min([{{'c': v2.c + 2, 's': 'D' || v2.s}}, {{'c': v3.c + 1 + e, 's': 'R' || v3.s}}, {{'c': CASE WHEN z = 'u' THEN v3.c + e ELSE 9999999 END, 's': 'K' || v3.s}}]) AS w2,
+        list_min([{{'c': v3.c + 2, 's': 'D' || v3.s}}, {{'c': v4.c + 1 + e, 's': 'R' || v4.s}}, {{'c': CASE WHEN z = 'a' THEN v4.c + e ELSE 9999999 END, 's': 'K' || v4.s}}]) AS w3,
+        list_min([{{'c': v4.c + 2, 's': 'D' || v4.s}}, {{'c': v3.c + 1 + e, 's': 'R' || v3.s}}, {{'c': CASE WHEN z = 'u' THEN v3.c + e ELSE 9999999 END, 's': 'K' || v3.s}}]) AS w4
+        FROM togo JOIN (SELECT conv_id AS cid, pos, z, CASE fault WHEN '' THEN 0 WHEN 't' THEN 5 ELSE 999999 END AS e FROM faults) f ON cid IS NOT DISTINCT FROM conv_id AND pos = i)),
+best AS (SELECT conv_id, v1.c AS cost, v1.s AS audit FROM togo WHERE i = 0),
+letters AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, unnest(range(len(audit))) AS j FROM best),
+met AS (SELECT *, count(*) FILTER (e <> 'I') OVER o AS pos, count(*) FILTER (e <> 'D') OVER o AS made FROM letters WINDOW o AS (PARTITION BY conv_id ORDER BY j)),
+told AS (SELECT m.conv_id, j, e, made, f.role, CASE WHEN e = 'I' THEN '' ELSE f.text END AS text, max(made = 1 AND e = 'K' AND f.z = 's') OVER (PARTITION BY m.conv_id) AS opens
+    FROM met m LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM m.conv_id AND f.pos = m.pos),
+lines AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN (made - opens::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS t FROM told WHERE e <> 'D' GROUP BY conv_id)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM g.conv_id
 """,
 }
