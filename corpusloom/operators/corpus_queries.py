@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import markup
 from corpusloom.functions import text as X
 from corpusloom.functions import unicode as U
-from corpusloom.operators import near
+from corpusloom.operators import keep_first, near
 from corpusloom.operators.gates import PROFILES, exact_keep_first, first_reason, profile_gates, sentence_gates
 from corpusloom.plans import curate
 from corpusloom.sources.files import table
@@ -189,12 +189,34 @@ def shingles_exact_jaccard(spark, sf_dir):
     return near.jaccard_pairs(table(spark, sf_dir, "documents"))
 
 
-@query()
+_GREEDY = f"""WITH RECURSIVE {_PAIRS},
+nodes AS (SELECT id, row_number() OVER (ORDER BY id) AS i FROM (SELECT a AS id FROM pairs UNION SELECT b FROM pairs)),
+earlier AS (SELECT n.i, n.id, coalesce(list(p.a) FILTER (p.a IS NOT NULL), []) AS others FROM nodes n LEFT JOIN pairs p ON p.b = n.id GROUP BY n.i, n.id),
+walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS kept UNION ALL
+    SELECT e.i, CASE WHEN list_has_any(w.kept, e.others) THEN w.kept ELSE list_append(w.kept, e.id) END FROM walk w JOIN earlier e ON e.i = w.i + 1),
+gone AS (SELECT p.b AS doc_id, arg_min(p.a, p.a::VARCHAR) AS duplicate_of FROM pairs p, (SELECT kept FROM walk ORDER BY i DESC LIMIT 1)
+    WHERE list_contains(kept, p.a) AND NOT list_contains(kept, p.b) GROUP BY p.b)"""
+
+
+@query(f"{_GREEDY} SELECT doc_id, duplicate_of FROM gone")
 def near_dedup_greedy(spark, sf_dir):
     return near.greedy_removed(near.jaccard_pairs(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "duplicate_of")
 
 
-@query()
+@query(f"{_GREEDY} SELECT doc_id, duplicate_of FROM gone")
+def near_dedup_textbooks(spark, sf_dir):
+    """Bands for a likeness of 0.8; texts without a shingle stay."""
+    return keep_first.near_dedup(table(spark, sf_dir, "documents"), lsh=0.8).select(F.col("id").alias("doc_id"), "duplicate_of")
+
+
+@query(f"""{_GREEDY}, bare AS (SELECT doc_id, min(doc_id) OVER () AS first FROM tok WHERE len(w) < 5)
+SELECT doc_id, duplicate_of FROM gone UNION ALL SELECT doc_id, first FROM bare WHERE doc_id <> first""")
+def near_dedup_notices(spark, sf_dir):
+    """Bands for a likeness of 0.86; texts without a shingle are copies of one another."""
+    return keep_first.near_dedup(table(spark, sf_dir, "documents"), lsh=0.86, empty_alike=True).select(F.col("id").alias("doc_id"), "duplicate_of")
+
+
+@query(f"WITH {_PAIRS} SELECT a, b, shared, jaccard FROM pairs")
 def near_dedup_lsh(spark, sf_dir):
     return near.lsh_pairs(table(spark, sf_dir, "documents"))
 
@@ -204,8 +226,12 @@ d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda
 SELECT item_id, doc_id, count(*) AS shared FROM b JOIN d USING (s) GROUP BY 1, 2 HAVING count(*) >= 5""")
 def benchmark_overlap(spark, sf_dir):
     """Documents that share five or more five-word runs with a benchmark item."""
-    items = near.shingle_sets(table(spark, sf_dir, "benchmark"), "item_id")
-    return items.join(near.shingle_sets(table(spark, sf_dir, "documents"), "doc_id"), "s").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("shared")).where("shared >= 5")
+    items = near.materialised(near.shingle_sets(table(spark, sf_dir, "benchmark"), "item_id"))
+    few = items.count() <= near.BROADCAST_ROWS
+    known = items.select("s").distinct()
+    docs = keep_first.sets_of(table(spark, sf_dir, "documents"), "doc_id").select(F.col("id").alias("doc_id"), F.explode_outer("set").alias("s"))
+    met = docs.join(F.broadcast(known) if few else known, "s", "left_semi")  # of the documents' shingles only these move
+    return met.join(F.broadcast(items) if few else items, "s").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("shared")).where("shared >= 5")
 
 
 @query("SELECT source, avg((lang = 'en')::INT) AS share, count(*) AS n FROM documents GROUP BY source")

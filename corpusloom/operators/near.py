@@ -14,6 +14,10 @@ from pyspark.sql.types import ArrayType, LongType
 from corpusloom.functions import text as X
 
 
+#: Most rows of a table of a few numbers each that is broadcast.
+BROADCAST_ROWS = 200_000
+
+
 def shared_folder(spark) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only where a session of one process has none, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,21 +50,37 @@ def jaccard_pairs(docs: DataFrame, key: str = "doc_id", threshold: float = 0.9,
 
     Sets at the threshold share one of their first n - ceil(threshold n) + 1 shingles in the
     order of rarity, so only these prefixes are joined; candidates are verified on whole sets.
+    Rows of equal sets are compared as one.
     """
-    sets = materialised(shingle_sets(docs, key, width))
-    often = sets.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = sets.join(often, "s", "left").groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("list"))
-    least = F.ceil(F.size("list") * F.lit(threshold) - 1e-9)
-    prefix = ranked.select(key, F.size("list").alias("n"), F.explode(F.slice("list", F.lit(1), (F.size("list") - least + 1).cast("int"))).alias("e")).where("e.df > 1")
-    prefix = materialised(prefix.select(F.col(key).alias("id"), "n", F.col("e.s").alias("s")))
+    from corpusloom.operators.keep_first import sets_of  # which is made of this module's parts
+
+    sets = materialised(sets_of(docs, key, width)).where(F.size("set") > 0)
+    sets = sets.withColumn("same", F.struct(F.xxhash64("set").alias("k"), F.xxhash64(F.reverse("set"), F.lit(7)).alias("l"), F.size("set").alias("n")))
+    firsts = sets.groupBy("same").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    firsts = materialised(firsts)
+    own = sets.join(firsts.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "set")
+    exploded = own.select("id", F.explode("set").alias("s"))
+    often = exploded.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # what is in one set only comes first and meets nothing; of the rest, the rarest that a partner must share
+    ranked = exploded.join(often, "s").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("list"))
+    ranked = ranked.join(firsts.select(F.col("rep").alias("id"), F.col("same.n").alias("n")), "id")
+    alone = F.col("n") - F.size("list")
+    most = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1 - alone
+    prefix = ranked.where(most > 0).select("id", "n", F.explode(F.slice("list", F.lit(1), most.cast("int"))).alias("e"))
+    prefix = materialised(prefix.select("id", "n", F.col("e.s").alias("s")))
     left, right = prefix.alias("l"), prefix.alias("r")
     close = (F.col("l.n") >= F.col("r.n") * threshold - 1e-9) & (F.col("r.n") >= F.col("l.n") * threshold - 1e-9)
     pairs = left.join(right, (F.col("l.s") == F.col("r.s")) & (F.col("l.id") < F.col("r.id")) & close).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    arrays = ranked.select(F.col(key).alias("id"), F.expr("transform(list, x -> x.s)").alias("set"))
-    both = pairs.join(arrays.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(arrays.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    both = pairs.join(own.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    scored = both.select("a", "b", shared.cast("bigint").alias("shared"), (shared / (F.size("x") + F.size("y") - shared)).alias("jaccard"))
-    return scored.where(F.col("jaccard") >= threshold)
+    scored = both.select("a", "b", shared.cast("bigint").alias("shared"), (shared / (F.size("x") + F.size("y") - shared)).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    # every pair is asked for: those of sets become those of their rows
+    members = materialised(sets.select("id", "same").join(firsts, "same").select("id", "rep", "copies", F.col("same.n").cast("bigint").alias("n")))
+    x, y = (members.select(F.col("rep").alias(c), F.col("id").alias(f"{c}_id")) for c in ("a", "b"))
+    apart = scored.join(x, "a").join(y, "b").select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"), "shared", "jaccard")
+    many = members.where("copies > 1")
+    equal = many.alias("l").join(many.alias("r"), (F.col("l.rep") == F.col("r.rep")) & (F.col("l.id") < F.col("r.id")))
+    return apart.unionByName(equal.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.n").alias("shared"), F.lit(1.0).alias("jaccard")))
 
 
 def bands_for(threshold: float, permutations: int = 128) -> tuple[int, int]:
@@ -98,22 +118,12 @@ def greedy_removed(pairs: DataFrame) -> DataFrame:
     """(id, duplicate_of) of what greedy keep-first drops, given pairs (a, b) with a before b.
 
     A row goes if and only if an earlier kept row is like it; duplicate_of is the smallest
-    such row, ids compared as text. Each round decides all rows whose earlier neighbours are
-    decided; rounds grow with the longest chain of undecided rows, not with the rows.
+    such row, ids compared as text.
     """
-    open_pairs = materialised(pairs.select("a", "b").distinct())
-    spark = pairs.sparkSession
-    kept = spark.createDataFrame([], open_pairs.select(F.col("a").alias("id")).schema)
-    dropped = kept
-    while not open_pairs.isEmpty():
-        firsts = open_pairs.select(F.col("a").alias("id")).distinct().join(open_pairs.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
-        firsts = materialised(firsts)
-        gone = materialised(open_pairs.join(firsts.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct())
-        kept, dropped = materialised(kept.union(firsts)), materialised(dropped.union(gone))
-        rest = open_pairs.join(firsts.withColumnRenamed("id", "a"), "a", "left_anti")
-        rest = rest.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti")
-        open_pairs = materialised(rest)
-    # A row without earlier neighbours left is kept though it was never a first: it may still be the one that others repeat.
+    from corpusloom.operators.keep_first import dropped_first  # which is made of this module's parts
+
+    pairs = materialised(pairs.select("a", "b").distinct())
+    dropped = materialised(dropped_first(pairs))
     settled = pairs.join(dropped.withColumnRenamed("id", "a"), "a", "left_anti")
-    named = settled.join(dropped.withColumnRenamed("id", "b"), "b", "left_semi").groupBy("b").agg(F.min_by("a", F.col("a").cast("string")).alias("duplicate_of"))
+    named = settled.groupBy("b").agg(F.min_by("a", F.col("a").cast("string")).alias("duplicate_of"))
     return named.select(F.col("b").alias("id"), "duplicate_of")
