@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.runtime import cut, documents, fitting, ordered_ids, small_side, unpacked
-from corpusloom.llm.units import cut_out, lines, report, spans, with_spans, without
+from corpusloom.llm.units import cut_out, lines, local, report, spans, texts_apart, variants, with_spans, without
 
 #: Words of the shortest run that counts, whatever the number of its lines.
 LEAST_WORDS = 5
@@ -32,10 +32,10 @@ def stripped(line: str) -> str:
     return line.strip()
 
 
-def levels(docs: DataFrame) -> list[tuple[DataFrame, int]]:
+def levels(docs: DataFrame, table: DataFrame | None = None) -> list[tuple[DataFrame, int]]:
     """The intervals by depth 1, 2, 4 ... and their number of rows: (doc_id, pos, rank, first), one row for each suffix
     that another one shares so many lines with; first (doc_id, pos) is the earliest of them."""
-    all_lines = cut(lines(docs, stripped).drop("words").dropDuplicates(["doc_id", "pos"]))
+    all_lines = cut(lines(texts_apart(docs, table), stripped).drop("words").dropDuplicates(["doc_id", "pos"]))
     least = F.min(F.struct("doc_id", "pos")).alias("first")
     ids = ordered_ids(all_lines.groupBy("digest").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), F.col("digest"), name="rank")
     level = cut(all_lines.join(ids, "digest").select("doc_id", "pos", "rank", "first"))
@@ -92,12 +92,12 @@ def split(now: DataFrame, most: int, ranks: DataFrame, rows: int, step: int) ->
     )
 
 
-def later_copies(docs: DataFrame) -> DataFrame:
-    """doc_id and marks: pos and n (lines) of the runs in each document that came before."""
-    found = longest_earlier(levels(docs))
+def later_copies(docs: DataFrame, table: DataFrame | None) -> DataFrame:
+    """doc_id, variant (of ``table``) and marks: pos and n (lines) of the runs in each text that came before."""
+    found = longest_earlier(levels(docs, table))
     if found is None:
-        return docs.sparkSession.createDataFrame([], "doc_id bigint, marks array<struct<pos: int, n: int>>")
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("pos", F.col("n").cast("int").alias("n"))).alias("marks"))
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, variant int, marks array<struct<pos: int, n: int>>")
+    return local(found, "pos", "n")
 
 
 def without_runs(least_words: int) -> Callable[[str, list], tuple[str, list[tuple[int, int]]]]:
@@ -118,7 +118,8 @@ def without_runs(least_words: int) -> Callable[[str, list], tuple[str, list[tupl
 
 
 def cleaned(docs: DataFrame, least_words: int) -> DataFrame:
-    return cut_out(docs, later_copies(docs.where("doc_id is not null")), without_runs(least_words))
+    table = variants(docs)
+    return cut_out(docs, table, later_copies(docs, table), without_runs(least_words))
 
 
 def dedup_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -127,9 +128,9 @@ def dedup_runs(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     Lines are equal if they are without blanks at their ends; blank lines neither count nor
     break a run. A run counts from ``least_words`` words on, in one line or many. The earliest
     copy by (doc_id, position) stays, within a text too. Null and empty texts stay as they are; a text
-    may become empty; very long texts are one row throughout. Rows that repeat a doc_id count as
-    one document and change alike (their lines are those of any one of them); rows without
-    doc_id aren't changed. An empty table gives an empty result; other columns are kept, but
+    may become empty; very long texts are one row throughout. Rows that repeat a doc_id and its
+    text count as one document and change alike; different texts of one doc_id are documents of
+    their own, in the order of their digests; rows without doc_id aren't changed. An empty table gives an empty result; other columns are kept, but
     for one named ``removed``.
     """
     return with_spans(cleaned(docs, least_words), docs)

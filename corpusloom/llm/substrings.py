@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import U, buffers, mix, slices, words
-from corpusloom.llm.runtime import BROADCAST_ROWS, cut, documents, small_side, stored, tidy, whole_number
-from corpusloom.llm.units import cut_out, report, with_spans
+from corpusloom.llm.runtime import BROADCAST_ROWS, cut, documents, small_side, stored, tidy
+from corpusloom.llm.units import APART, cut_out, local, report, texts_apart, variants, with_spans
 
 PASSAGE = 50
 GRAM = 20
@@ -100,14 +100,15 @@ def all_segments(docs: DataFrame) -> DataFrame:
         for batch in batches:
             _, offsets = buffers(batch.column("text"))
             ids = np.array(batch.column("doc_id").to_pylist(), dtype=np.int64)
+            base = np.array(batch.column("variant").to_pylist(), dtype=np.int64) * APART
             for first, last in slices(offsets):
                 row, begin, count, least, mark = segments(*word_hashes(batch.column("text").slice(first, last - first).to_pylist()))
                 for k in range(0, len(row), 50_000):
                     part = slice(k, k + 50_000)
-                    columns = (least[part], mark[part], ids[first + row[part]], begin[part].astype(np.int32), count[part].astype(np.int32))
+                    columns = (least[part], mark[part], ids[first + row[part]], begin[part] + base[first + row[part]], count[part].astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
 
-    return docs.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin int, n int")
+    return docs.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin bigint, n int")
 
 
 def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,14 +122,16 @@ def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The windows of the ``chosen`` segments: least, mark (now of the window), doc_id, begin, n (1)."""
-    lists = cut(chosen.groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n", "least")).alias("chosen")))
+    key = ["doc_id", "variant"]
+    placed = chosen.select("doc_id", F.shiftright("begin", 32).cast("int").alias("variant"), F.struct(F.col("begin").bitwiseAND(F.lit(APART - 1)).alias("begin"), "n", "least").alias("x"))
+    lists = cut(placed.groupBy(*key).agg(F.collect_set("x").alias("chosen")))
     if lists.count() <= BROADCAST_ROWS:  # then the other texts needn't move
-        docs = docs.join(F.broadcast(lists.select("doc_id")), "doc_id", "left_semi")
-    wide = lists.join(docs, "doc_id").select("doc_id", "chosen", "text")
+        docs = docs.join(F.broadcast(lists.select(*key)), key, "left_semi")
+    wide = lists.join(docs, key).select(*key, "chosen", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, chosen, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chosen", "text"))):
+            for doc_id, variant, chosen, text in zip(*(batch.column(c).to_pylist() for c in (*key, "chosen", "text"))):
                 hashes, _ = word_hashes([text])
                 begin, count, least = (np.array([x[c] for x in chosen], dtype=np.int64) for c in ("begin", "n", "least"))
                 at = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -137,21 +140,21 @@ def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                 at, least = at[fits], least[fits]
                 if len(at):
                     marks = Rolling(hashes, WINDOW).runs(at, PASSAGE).view(np.int64)
-                    columns = (least, marks, np.full(len(at), doc_id, np.int64), at.astype(np.int32), np.ones(len(at), np.int32))
+                    columns = (least, marks, np.full(len(at), doc_id, np.int64), at + variant * APART, np.ones(len(at), np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["least", "mark", "doc_id", "begin", "n"])
 
-    return wide.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin int, n int")
+    return wide.mapInArrow(tidy(run), "least bigint, mark bigint, doc_id bigint, begin bigint, n int")
 
 
-def later_passages(docs: DataFrame) -> DataFrame:
-    """doc_id and marks (begin, n): where the units begin that equal an earlier one by (doc_id, position)."""
-    rows = docs.where("doc_id is not null").select(whole_number("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def later_passages(docs: DataFrame, table: DataFrame | None) -> DataFrame:
+    """doc_id, variant and marks (begin, n): where the units begin that equal an earlier one by (doc_id, variant, position)."""
+    rows = texts_apart(docs, table)
     every = stored(all_segments(rows), "segments")
     often = cut(every.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
     found, firsts = later(cut(every.join(small_side(often), "least").select("least", "mark", "doc_id", "begin", "n")))
     shared = cut(firsts.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
     single, _ = later(cut(opened_windows(rows, firsts.join(small_side(shared), "least"))))
-    return found.unionByName(single).groupBy("doc_id").agg(F.collect_set(F.struct("begin", "n")).alias("marks"))
+    return local(found.unionByName(single), "begin", "n")
 
 
 def without_words(text: str, marks: list) -> tuple[str, list[tuple[int, int]]]:
@@ -175,14 +178,17 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     Words are what blanks separate, equal in NFC and lower case; line feeds are blanks. Every
     run of PASSAGE words that equals an earlier one, by (doc_id, position), goes, within a text
     too; the blanks on both sides of a span stay. Null, empty and shorter texts stay as they are; a text
-    may become empty. Rows that repeat a doc_id count as one document and change alike; rows
+    may become empty. Rows that repeat a doc_id and its text count as one document and change alike;
+    different texts of one doc_id are documents of their own, in the order of their digests; rows
     without doc_id aren't changed. An empty table gives an empty result; other columns are kept,
     but for one named ``removed``.
     """
-    return with_spans(cut_out(docs, later_passages(docs), without_words), docs)
+    table = variants(docs)
+    return with_spans(cut_out(docs, table, later_passages(docs, table), without_words), docs)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``dedup_passages`` of all documents: doc_id, removed spans, their number and code points, length and SHA-256 of what stays."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return report(cut_out(docs, later_passages(docs), without_words))
+    table = variants(docs)
+    return report(cut_out(docs, table, later_passages(docs, table), without_words))
