@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
@@ -13,57 +12,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-SKIPPED = {"script", "style", "nav", "head", "noscript", "template", "svg", "header", "footer", "aside", "button", "form"}
-BLOCKS = {"p", "div", "section", "article", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "figure", "figcaption", "blockquote", "pre", "dl", "dt", "dd", "main", "body"}
-MARKS = {"sub": ("_{", "}"), "sup": ("^{", "}")}
-
-
-class _Reader(HTMLParser):
-    """Visible text in document order; unclosed tags are tolerated."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.skipping: list[str] = []
-        self.cells = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in SKIPPED:
-            self.skipping.append(tag)
-        elif self.skipping:
-            return
-        elif tag == "br":
-            self.parts.append("\n")
-        elif tag in ("td", "th"):
-            self.parts.append(" | " if self.cells else "")
-            self.cells += 1
-        elif tag in MARKS:
-            self.parts.append(MARKS[tag][0])
-        elif tag in BLOCKS:
-            self.parts.append("\n" if tag in ("tr", "li") else "\n\n")
-            self.cells = 0
-
-    def handle_endtag(self, tag):
-        if self.skipping:
-            if tag in self.skipping:
-                while self.skipping.pop() != tag:
-                    pass
-        elif tag in MARKS:
-            self.parts.append(MARKS[tag][1])
-        elif tag in BLOCKS:
-            self.parts.append("\n" if tag in ("tr", "li") else "\n\n")
-
-    def handle_data(self, data):
-        if not self.skipping:
-            self.parts.append(re.sub(r"\s+", " ", data))
-
+from corpusloom.functions.pages import PAGE, page_text
 
 def text_of_html(markup: str) -> str:
-    reader = _Reader()
-    reader.feed(markup)
-    reader.close()
-    lines = [re.sub(r"[ \t ]+", " ", x).strip() for x in "".join(reader.parts).split("\n")]
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+    """The readable text of a whole page."""
+    return page_text(markup, PAGE)[0]
 
 
 def links_of_html(markup: str, base: str) -> list[str]:
