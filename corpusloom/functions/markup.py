@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import io
+import lzma
+import struct
 import zipfile
+import zlib
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from corpusloom.functions.pages import PAGE, page_text
 
@@ -41,20 +45,21 @@ def links_of_html(markup: str, base: str) -> list[str]:
 def text_of_xml(raw: bytes, excluded: set[str] = frozenset()) -> str:
     """Leaf texts in document order, one a line, without what stands below excluded tags."""
     out: list[str] = []
-
-    def visit(node):
-        if node.tag.rpartition("}")[2] in excluded:
-            return
+    waiting: list = [ElementTree.fromstring(raw)]  # elements to be read, and the texts behind those that were
+    while waiting:
+        node = waiting.pop()
+        if isinstance(node, str):
+            out.append(node)
+            continue
+        if isinstance(node.tag, str) and node.tag.rpartition("}")[2] in excluded:
+            continue
         text = " ".join((node.text or "").split())
         if text and (not out or out[-1] != text):
             out.append(text)
-        for child in node:
-            visit(child)
-            tail = " ".join((child.tail or "").split())
-            if tail:
-                out.append(tail)
-
-    visit(ElementTree.fromstring(raw))
+        for child in reversed(node):
+            if tail := " ".join((child.tail or "").split()):
+                waiting.append(tail)
+            waiting.append(child)
     return "\n".join(out)
 
 
@@ -91,19 +96,37 @@ def html_links(markup: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([links_of_html(m, b) if m is not None and b is not None else [] for m, b in zip(markup, base)])
 
 
-def readable(read, raw: bytes) -> str | None:
-    """What ``read`` makes of a file; null for a broken one, which doesn't fail the others."""
+#: What the readers of broken files raise: damaged archives and members, unknown compression, passwords, missing parts, bad XML or encodings.
+BROKEN = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, RuntimeError, NotImplementedError, LookupError, TypeError, ValueError, AttributeError, ElementTree.ParseError, OverflowError, struct.error)
+READ = StructType([StructField("text", StringType()), StructField("error", StringType())])
+
+
+def readable(read, raw: bytes) -> tuple[str | None, str | None]:
+    """What ``read`` makes of a file and null, or null and what is wrong with a broken one, which doesn't fail the others."""
     try:
-        return read(raw)
-    except (zipfile.BadZipFile, KeyError, TypeError, ElementTree.ParseError):
-        return None
+        return read(raw), None
+    except BROKEN as error:
+        return None, f"{type(error).__name__}: {error}"
 
 
-@F.pandas_udf(StringType())
-def docx_text(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: readable(text_of_docx, bytes(x)), na_action="ignore")
+def reading(read):
+    """A pandas UDF: struct of text and error of a binary column; null gives nulls."""
 
+    @F.pandas_udf(READ)
+    def column(raw: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None) if x is None else readable(read, bytes(x)) for x in raw], columns=["text", "error"])
 
-@F.pandas_udf(StringType())
-def xml_text(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda x: readable(text_of_xml, bytes(x)), na_action="ignore")
+    return column
+
+
+def docx_text(raw: Column | str) -> Column:
+    return reading(text_of_docx)(raw)["text"]
+
+
+def xml_text(raw: Column | str, excluded: frozenset[str] = frozenset()) -> Column:
+    return reading(lambda x: text_of_xml(x, excluded))(raw)["text"]
+
+
+def zip_member(raw: Column | str, suffix: str) -> Column:
+    """Struct of the text (UTF-8, errors replaced) of the first member with that end of name, and the error of a broken archive."""
+    return reading(lambda x: None if (found := member_of_zip(x, suffix)) is None else found.decode(errors="replace"))(raw)

@@ -34,6 +34,11 @@ def settled_newlines(text: Column) -> Column:
     return F.when(text == "", text).otherwise(F.concat(text, F.lit("\n")))
 
 
+def stripped_lines(text: Column) -> Column:
+    """Each line with blanks collapsed and none at its ends."""
+    return F.array_join(F.transform(F.split(text, r"\r\n|[\n\r\u0085\u2028\u2029]"), lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t\u00A0]+", " "), r"(?U)^\s+|\s+$", "")), "\n")
+
+
 def without_page_numbers(text: Column, digits: int = 4) -> Column:
     """Lines of one to ``digits`` digits and nothing else go."""
     return F.array_join(F.filter(F.split(text, "\n"), lambda line: ~line.rlike(rf"\A[0-9]{{1,{digits}}}\z")), "\n")
@@ -50,7 +55,8 @@ def unwrapped(text: Column) -> Column:
 
 
 def repaired(text: Column) -> Column:
-    return settled_newlines(unwrapped(unhyphenated(without_page_numbers(text))))
+    """Lines are stripped first: a number, a hyphen or the end of a sentence may have blanks behind it."""
+    return settled_newlines(unwrapped(unhyphenated(without_page_numbers(stripped_lines(text)))))
 
 
 def both_ends(items: Column, n: int = 3) -> Column:

@@ -14,6 +14,8 @@ NATIONAL_NUMBER = r"(?<!\d)\d{11}(?!\d)"
 PHONE = r"(?<!\d)(?:\+?48[ .-]?)?(?:\d[ .-]?){9}(?!\d)"
 #: Fixed value: what redaction masks as a phone number, a labelled or grouped one. The detector above is wider.
 MASKED_PHONE = r"(?i)(?<![\p{L}\p{N}_])(?:(?:tel(?:efon)?\.?\s*:?\s*|\+48[ .-]?)\d{3}[ .-]?\d{3}[ .-]?\d{3}|\d{3}[ .-]\d{3}[ .-]\d{3})(?!\d)"
+#: Fixed value: phone numbers as tags, with any blank between digits.
+TAGGED_PHONE = r"(?<![0-9])(?:\+?48[\s\u00A0.-]?)?(?:[0-9][\s\u00A0.-]?){9}(?![0-9])"
 REPEATED = r"(?i)(.)\1{7,}"
 LABELLED_ID = r"(?i)\b(?:PESEL|NIP|REGON)\s*:?[ \t]*(?:\d[ -]?){9,14}\b"
 ADDRESS = r"(?iu)\b(?:ul\.|ulica|al\.|aleja|pl\.|plac)\s+[A-ZĄĆĘŁŃÓŚŹŻ][^\n,;]{2,80}\s+\d"
@@ -80,7 +82,7 @@ def redaction_counts(text: Column) -> dict[str, Column]:
 
 def pii_tags(text: Column) -> Column:
     """Kinds of personal data found, joined by semicolons."""
-    kinds = (("email", EMAIL), ("phone", PHONE), ("personal_identifier", NATIONAL_NUMBER), ("address", ADDRESS), ("signature_or_named_role", SIGNATURE))
+    kinds = (("email", EMAIL), ("phone", TAGGED_PHONE), ("personal_identifier", NATIONAL_NUMBER), ("address", ADDRESS), ("signature_or_named_role", SIGNATURE))
     return F.concat_ws(";", *(F.when(text.rlike(pattern), F.lit(name)) for name, pattern in kinds))
 
 

@@ -60,10 +60,16 @@ def strict_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def registry_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """key and change (added, removed or changed) of the entries that differ; equal ones give no row.
 
-    Entries are compared in all other columns of ``before``, null equal to null; keys are unique and not null.
+    Entries are compared in all other columns of either table, null equal to null and to a column that
+    a table lacks; keys are unique and not null.
     """
-    others = [c for c in before.columns if c != key]
-    held = [x.select(key, F.struct(F.lit(1).alias("_there"), *others).alias(side)) for x, side in ((before, "_old"), (after, "_new"))]
+    others = [c for c in dict.fromkeys(before.columns + after.columns) if c != key]
+    kinds = dict(after.dtypes) | dict(before.dtypes)
+
+    def entry(rows: DataFrame) -> Column:
+        return F.struct(F.lit(1).alias("_there"), *(F.col(c) if c in rows.columns else F.lit(None).cast(kinds[c]).alias(c) for c in others))
+
+    held = [x.select(key, entry(x).alias(side)) for x, side in ((before, "_old"), (after, "_new"))]
     both = held[0].join(held[1], key, "full")
     change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
     return both.select(key, change.alias("change")).where("change is not null")

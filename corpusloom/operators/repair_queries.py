@@ -22,18 +22,39 @@ def query(oracle: str | None = None):
     return register
 
 
+def also(df, rows):
+    """``df`` and rows that hit a rule which the tables' rows seldom do."""
+    return df.unionByName(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def _values(rows):
+    written = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return "VALUES " + ", ".join("(" + ", ".join(map(written, row)) + ")" for row in rows)
+
+
+#: Texts with page numbers, split words and wrapped lines, with and without blanks around them.
+_LINES = [(-1, "koniec strony  \n 12 \ni dalej pra- \nca"), (-2, "Pra-\nca jest\nważna.\n17\nDalej\n\n\n\n\nkoniec "), (-3, "12345\nx-\nY\t\n a:\nb;\nc\nd"), (-4, " \n7\n"), (-5, "a\t b  c\n  d")]
+_FORMULAS = [(-1, "\\( x \\)"), (-2, "\\[ x \\] \\("), (-3, "\\[ x"), (-4, "( x ] \\)"), (-5, "")]
+_AUTHORS = [(-10 - k, None if k % 2 else f"Podpis: {own[-1].upper()}", f"pismo, {own[0]}") for k, own in enumerate(R.AUTHORS.values())] + [(-1, "", "x" * 4000 + " fundacja"), (-2, "Fundacja i izba", "")]
+_DATES = [(-1, "D:19891231"), (-2, "D:20251301"), (-3, "D:20250132"), (-4, "2025"), (-5, "D:19900101120000"), (-6, "x D:20251231"), (-7, ""), (-8, None)]
+_SETS = [("only en", "en"), ("en and es", "en"), ("en and es", "es"), ("fr and de", "fr"), ("fr and de", "de"), ("en and de", "de"), ("en and de", "en"), ("none", None)]
+
+
 def _twice(column: str, pattern: str, by: str) -> str:
     """The SQL dialect has no look-behind: neighbouring matches share a letter, so the second of them needs a second pass."""
     return f"regexp_replace(regexp_replace({column}, '{pattern}', '{by}', 'g'), '{pattern}', '{by}', 'g')"
 
 
-@query(f"""WITH a AS (SELECT doc_id, coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_full_match(x, '[0-9]{{1,4}}')), chr(10)), '') AS t FROM documents),
+@query(f"""WITH a AS (SELECT doc_id, coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_full_match(x, '[0-9]{{1,4}}')), chr(10)), '') AS t
+    FROM (SELECT doc_id, array_to_string(list_transform(regexp_split_to_array(text, '\\r\\n|\\n|\\r'), lambda x: regexp_replace(regexp_replace(x, '[ \\t\\x{{00A0}}]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')), chr(10)) AS text
+        FROM (SELECT doc_id, text FROM documents UNION ALL {_values(_LINES)}))),
 b AS (SELECT doc_id, {_twice('t', '([' + chr(92) + 'p{L}' + chr(92) + 'p{N}_])-' + chr(92) + 'n([' + R.SMALL + '])', chr(92) + '1' + chr(92) + '2')} AS t FROM a),
 c AS (SELECT doc_id, {_twice('t', '(^|[^' + R.ENDS + chr(92) + 'n])' + chr(92) + 'n([' + R.SMALL + '])', chr(92) + '1 ' + chr(92) + '2')} AS t FROM b),
 d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(t, '[ \\t]+\\n', chr(10), 'g'), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'), chr(32) || chr(9) || chr(10) || chr(13)) AS t FROM c)
 SELECT doc_id, length(t)::BIGINT AS n, sha256(CASE WHEN t = '' THEN t ELSE t || chr(10) END) AS text_sha256 FROM d""")
 def repaired_lines(spark, sf_dir):
-    done = table(spark, sf_dir, "documents").select("doc_id", R.repaired(F.coalesce("text", F.lit(""))).alias("t"))
+    docs = also(table(spark, sf_dir, "documents").select("doc_id", "text"), _LINES)
+    done = docs.select("doc_id", R.repaired(F.coalesce("text", F.lit(""))).alias("t"))
     return done.select("doc_id", F.greatest(F.length("t") - 1, F.lit(0)).cast("bigint").alias("n"), F.sha2("t", 256).alias("text_sha256"))
 
 
@@ -58,17 +79,17 @@ def path_parts(spark, sf_dir):
     )
 
 
-_HEAD = "lower(source || chr(10) || left(text, 4000))"
+_HEAD = "lower(concat_ws(chr(10), source, left(text, 4000)))"
 
 
-@query("SELECT doc_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains({_HEAD}, {term!r})' for term in terms)} THEN '{name}'" for name, terms in R.AUTHORS.items()) + " ELSE 'unknown' END AS kind FROM documents")
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains({_HEAD}, {term!r})' for term in terms)} THEN '{name}'" for name, terms in R.AUTHORS.items()) + f" ELSE 'unknown' END AS kind FROM (SELECT doc_id, source, text FROM documents UNION ALL {_values(_AUTHORS)})")
 def author_kinds(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", R.author_kind(F.col("source"), F.col("text")).alias("kind"))
+    return also(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), _AUTHORS).select("doc_id", R.author_kind(F.col("source"), F.col("text")).alias("kind"))
 
 
-@query("SELECT doc_id, length(text) - length(replace(text, '\\(', '')) <> length(text) - length(replace(text, '\\)', '')) OR length(text) - length(replace(text, '\\[', '')) <> length(text) - length(replace(text, '\\]', '')) AS unbalanced FROM documents")
+@query(f"SELECT doc_id, length(text) - length(replace(text, '\\(', '')) <> length(text) - length(replace(text, '\\)', '')) OR length(text) - length(replace(text, '\\[', '')) <> length(text) - length(replace(text, '\\]', '')) AS unbalanced FROM (SELECT doc_id, text FROM documents UNION ALL {_values(_FORMULAS)})")
 def math_unbalanced(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", R.unbalanced_math(F.col("text")).alias("unbalanced"))
+    return also(table(spark, sf_dir, "documents").select("doc_id", "text"), _FORMULAS).select("doc_id", R.unbalanced_math(F.col("text")).alias("unbalanced"))
 
 
 @query("SELECT event_id, sha256(json(props)::VARCHAR) AS props_sha256 FROM events")
@@ -76,14 +97,17 @@ def canonical_json_hash(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", R.canonical_sha256("props").alias("props_sha256"))
 
 
-@query("SELECT event_id, CASE WHEN year(ts) BETWEEN 1990 AND year(current_date) THEN strftime(ts, '%Y-%m-%d') ELSE 'unknown' END AS created FROM events")
+@query(f"""WITH r AS (SELECT event_id, regexp_extract(raw, 'D:([0-9]{{8}})', 1) AS d FROM (SELECT event_id, strftime(ts, 'D:%Y%m%d%H%M%S') AS raw FROM events UNION ALL {_values(_DATES)})),
+p AS (SELECT event_id, try_cast(d[1:4] AS INT) AS y, try_cast(d[5:6] AS INT) AS m, try_cast(d[7:8] AS INT) AS n, d[1:4] || '-' || d[5:6] || '-' || d[7:8] AS day FROM r)
+SELECT event_id, CASE WHEN y BETWEEN 1990 AND year(current_date) AND m BETWEEN 1 AND 12 AND n BETWEEN 1 AND 31 THEN day ELSE 'unknown' END AS created FROM p""")
 def pdf_dates(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", R.pdf_date(F.concat(F.lit("D:"), F.date_format("ts", "yyyyMMddHHmmss"))).alias("created"))
+    raw = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("D:"), F.date_format("ts", "yyyyMMddHHmmss")).alias("raw"))
+    return also(raw, _DATES).select("event_id", R.pdf_date(F.col("raw")).alias("created"))
 
 
-@query("SELECT source FROM documents GROUP BY source HAVING bool_or(lang = 'en') AND bool_or(lang IN ('fr', 'de'))")
+@query(f"SELECT source FROM (SELECT source, lang FROM documents UNION ALL {_values(_SETS)}) GROUP BY source HAVING bool_or(lang = 'en') AND bool_or(lang IN ('fr', 'de'))")
 def multi_valued_membership(spark, sf_dir):
-    sets = table(spark, sf_dir, "documents").groupBy("source").agg(F.collect_set("lang").alias("langs"))
+    sets = also(table(spark, sf_dir, "documents").select("source", "lang"), _SETS).groupBy("source").agg(F.collect_set("lang").alias("langs"))
     return sets.where(F.array_contains("langs", "en") & F.arrays_overlap("langs", F.array(F.lit("fr"), F.lit("de")))).select("source")
 
 

@@ -123,3 +123,23 @@ def test_documents_of_other_formats(spark, tmp_path):
 def test_json_report_is_valid(spark, tmp_path):
     S.write_json_document(spark, {"b": 1, "a": "ł"}, str(tmp_path / "r.json"))
     assert json.loads((tmp_path / "r.json").read_text()) == {"a": "ł", "b": 1}
+
+
+def test_files_with_any_byte_changed_do_not_fail_the_others(spark):
+    """Every damage to an archive gives a text or an error."""
+    import io
+
+    held = io.BytesIO()
+    space = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{space}"><w:body><w:p><w:r><w:t>{"Treść dokumentu. " * 20}</w:t></w:r></w:p></w:body></w:document>')
+    raw = held.getvalue()
+    for k in range(len(raw)):
+        text, error = markup.readable(markup.text_of_docx, raw[:k] + bytes([raw[k] ^ 0xFF]) + raw[k + 1 :])
+        assert (text is None) != (error is None), k
+    deep = b"<a>" * 3000 + b"x" + b"</a>" * 3000
+    found = spark.createDataFrame([(raw, deep), (raw[:50], b"<a>"), (None, None)], "d binary, x binary")
+    rows = found.select(markup.docx_text("d").alias("d"), markup.xml_text("x").alias("x"), markup.reading(markup.text_of_docx)("d")["error"].alias("e")).collect()
+    assert rows[0]["d"].startswith("Treść") and rows[0]["x"] == "x" and rows[0]["e"] is None
+    assert rows[1]["d"] is None and rows[1]["x"] is None and "BadZipFile" in rows[1]["e"] and tuple(rows[2]) == (None, None, None)
+    assert [r[0] for r in found.select(markup.zip_member("d", ".xml")["text"].startswith("<w:document")).collect()] == [True, None, None]

@@ -93,3 +93,22 @@ def test_registry_and_counters(spark):
     assert {tuple(r) for r in C.registry_diff(before, after, "k").collect()} == {("a", "changed"), ("c", "removed"), ("d", "added")}
     maps = spark.createDataFrame([({"x": 1, "y": 2},), ({"x": 3},), (None,)], "m map<string,int>")
     assert {tuple(r) for r in C.counter_totals(maps, "m").collect()} == {("x", 4), ("y", 2)}
+
+
+def test_lines_with_blanks_at_their_ends(spark):
+    found = over(spark, ["koniec strony  \n 12 \ni dalej pra- \nca", "\t7 \n", "a \r\n b"], R.repaired)
+    assert found == ["koniec strony i dalej praca\n", "", "a b\n"]
+
+
+def test_phones_with_any_blank_are_tagged(spark):
+    texts = ["tel 123\t456\n789", "123 456 789", "+48 123-456-789", "1234567890", "12 34", "a" * 9]
+    plain = re.compile(r"(?<!\d)(?:\+?48[\s.-]?)?(?:\d[\s.-]?){9}(?!\d)")
+    assert [x == "phone" for x in over(spark, texts, X.pii_tags)] == [bool(plain.search(x)) for x in texts] == [True, True, True, False, False, False]
+
+
+def test_an_entry_that_gains_or_loses_a_field_changes(spark):
+    before = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "k string, v int, old string")
+    after = spark.createDataFrame([("a", 1, None), ("b", 2, "new")], "k string, v int, more string")
+    assert {tuple(r) for r in C.registry_diff(before, after, "k").collect()} == {("a", "changed"), ("b", "changed")}
+    same = spark.createDataFrame([("b", 2, None)], "k string, v int, more string")
+    assert C.registry_diff(before.where("k = 'b'"), same, "k").count() == 0
