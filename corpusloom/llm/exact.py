@@ -197,7 +197,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = M
     entries = index(known.select("doc_id", "digest"), shards, memtable_rows).where("n > 1")
     hits = cut(entries)
     placed = cut(known.join(hits, "digest", "left"))
-    strays = byte_strays(base, placed.where("n is not null"), hits)
+    strays = byte_strays(base, placed.where("n is not null"), hits, digest_bytes)
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.when(F.col("keep_id") != NO_ID, F.col("keep_id")))
     out = placed.select("doc_id", keep.alias("keep_id"), F.coalesce("n", F.lit(1).cast("bigint")).alias("group_size"), "text_sha256", "digest")
     if not strays.isEmpty():
@@ -212,11 +212,12 @@ def exact_groups(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = M
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
-def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFrame:
+def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame, digest_bytes: int) -> DataFrame:
     """Digests of the hits whose bytes differ from their kept document's: (digest, doc_id).
 
     Kept texts move to the hits of their own id by an equi-join that Spark can split where
-    one text has very many copies.
+    one text has very many copies. Rows without doc_id are met by their digests, and compared
+    with the least of their texts where none of a group has an id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,10 +230,16 @@ def byte_strays(base: DataFrame, members: DataFrame, hits: DataFrame) -> DataFra
             same = [hashlib.sha256(x).digest()[: len(d)] == d for x, d in zip(folded_rows(batch.column("raw")), batch.column("digest").to_pylist())]
             yield batch.filter(pa.array(same))
 
+    def stamped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [hashlib.sha256(x).digest()[:digest_bytes] for x in folded_rows(batch.column("raw"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digests, pa.binary()), batch.column("raw")], ["doc_id", "digest", "raw"])
+
+    nameless = base.where(F.col("doc_id").isNull()).mapInArrow(tidy(stamped), "doc_id bigint, digest binary, raw binary")
     ids = members.where(F.col("doc_id").isNotNull()).select("doc_id", "digest", "keep_id")
     texts = ids.join(base, "doc_id").mapInArrow(tidy(own), "doc_id bigint, digest binary, keep_id bigint, raw binary")
-    texts = cut(texts)
-    kept = cut(texts.where("doc_id = keep_id").groupBy("digest").agg(F.min("raw").alias("kept_raw")))
+    texts = cut(texts.unionByName(nameless.join(hits.select("digest", "keep_id"), "digest").select(*texts.columns)))
+    kept = cut(texts.where((F.col("doc_id") == F.col("keep_id")) | (F.col("keep_id") == NO_ID)).groupBy("digest").agg(F.min("raw").alias("kept_raw")))
     return cut(texts.join(kept, "digest").mapInArrow(tidy(run), "digest binary, doc_id bigint"))
 
 
