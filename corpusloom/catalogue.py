@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.operators import corpus_queries, repair_queries, review_queries
+from corpusloom.operators import corpus_queries, evidence_queries, repair_queries, review_queries
 
-QUERIES = corpus_queries.QUERIES | review_queries.QUERIES | repair_queries.QUERIES
-ORACLES = corpus_queries.ORACLES | review_queries.ORACLES | repair_queries.ORACLES
+QUERIES = corpus_queries.QUERIES | review_queries.QUERIES | repair_queries.QUERIES | evidence_queries.QUERIES
+ORACLES = corpus_queries.ORACLES | review_queries.ORACLES | repair_queries.ORACLES | evidence_queries.ORACLES
