@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import nested, pages
 from corpusloom.operators import evidence as V
+from corpusloom.operators import source_gates
 from corpusloom.operators.near import shared_folder
 from corpusloom.operators.repair_queries import _values, also
 from corpusloom.sources.files import table
@@ -118,3 +119,35 @@ def props_leaves(spark, sf_dir):
     """Every leaf of the events' properties, however deep."""
     rows = also(table(spark, sf_dir, "events").select("event_id", "props"), _NESTED)
     return nested.leaves(rows, "event_id", "props").select("event_id", nested.path_text(F.col("path")).alias("path"), "value")
+
+
+_FACTS = """SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN 'przedmowa' ELSE 'rozdzial-' || doc_id || '-x' END AS slug, CASE WHEN doc_id % 19 = 0 THEN 'Spis rzeczy' ELSE 'Tytuł' END AS title, doc_id % 23 <> 0 AS named,
+coalesce(text, '') || CASE WHEN doc_id % 29 = 0 THEN chr(65533) WHEN doc_id % 31 = 0 THEN chr(769) WHEN doc_id % 37 = 0 THEN repeat(' mied byd', 6) ELSE '' END AS text, doc_id % 13 AS m, lang AS language, (doc_id % 50 + 50) / 100.0 AS confidence FROM documents"""
+_FOREIGN = "language <> 'en' AND confidence >= {}"
+_RATIO = "len(regexp_extract_all(text, '{}')) / greatest(length(text), 1) < {}"
+_LATIN_SQL, _POLISH_SQL = "[a-zA-Z\\x{00C0}-\\x{024F}]", "[A-Za-zĄĆĘŁŃÓŚŹŻąćęłńóśźż]"
+_CASES = {
+    "textbook": [("frontmatter_index_bibliography_or_answer_key", "slug = 'przedmowa'"), ("unconverted_math", "m = 1"), ("too_short", "length(text) < 200"), ("low_letter_ratio", _RATIO.format(_LATIN_SQL, 0.35)), ("high_confidence_non_polish", _FOREIGN.format(0.99))],
+    "chemistry": [("missing_authorship", "NOT named"), ("frontmatter_or_bibliography", "title = 'Spis rzeczy'"), ("too_short", "length(text) < 200"), ("unbalanced_math", "m = 2"), ("low_letter_ratio", _RATIO.format(_LATIN_SQL, 0.35)), ("non_polish", _FOREIGN.format(0.99))],
+    "lesson": [("license_not_explicit_on_page_and_xml", "m IN (3, 4)"), ("missing_creator", "NOT named"), ("too_short", "length(text) < 300"), ("non_polish", _FOREIGN.format(0.99))],
+    "guide": [("rights_or_authorship_conflict", "m = 5"), ("page_extraction_failure", "m = 6"), ("text_extraction_garbled", "contains(text, chr(65533))"), ("text_extraction_split_diacritics", "regexp_matches(text, '\\p{Mn}')"),
+        ("text_extraction_legacy_font_mapping", "(" + " + ".join(f"len(regexp_extract_all(lower(text), '{w}'))" for w in ("widad", "dad", "mied", "byd", "kooca", "przestrzeo", "poznad", "zostad", "współgrad", "uwzględnid", "zamieścid")) + ") > 10"),
+        ("too_little_extractable_text", "length(text) < 1000"), ("low_letter_ratio", _RATIO.format(_POLISH_SQL, 0.55)), ("non_polish", _FOREIGN.format(0.98))],
+    "academic": [("too_little_extractable_text", "length(text) < 5000"), ("low_letter_ratio", _RATIO.format(_POLISH_SQL, 0.55)), ("excessive_unreadable_glyphs", "contains(text, chr(65533))"), ("non_polish", _FOREIGN.format(0.95))],
+    "notice": [("replacement_character", "contains(text, chr(65533))"), ("missing_contracting_authority", "NOT named"), ("too_short_after_cleaning", "length(text) < 300"), ("non_polish", _FOREIGN.format(0.98))],
+}
+
+
+@query(f"WITH f AS ({_FACTS}) " + " UNION ALL ".join(f"SELECT '{kind}' AS kind, CASE {' '.join(f'WHEN {holds} THEN {reason!r}' for reason, holds in cases)} END AS reason, count(*) AS n FROM f GROUP BY 2" for kind, cases in _CASES.items()))
+def source_gate_reasons(spark, sf_dir):
+    """How many documents the gates of each kind of source reject for which reason; facts that the table lacks are made from the id."""
+    i, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    tail = F.when(i % 29 == 0, F.lit("\ufffd")).when(i % 31 == 0, F.lit("\u0301")).when(i % 37 == 0, F.repeat(F.lit(" mied byd"), 6)).otherwise("")
+    rows = table(spark, sf_dir, "documents").select(
+        F.when(i % 17 == 0, "przedmowa").otherwise(F.concat(F.lit("rozdzial-"), i.cast("string"), F.lit("-x"))).alias("slug"), F.when(i % 19 == 0, "Spis rzeczy").otherwise("Tytuł").alias("title"),
+        F.when(i % 23 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("A"))).alias("authors"), F.concat(text, tail).alias("text"), (i % 13 == 1).cast("int").alias("math_failed"), (i % 13 == 2).alias("math_unbalanced"),
+        (i % 13 != 3).alias("license_on_page"), (i % 13 != 4).alias("license_in_source"), (i % 13 == 5).alias("rights_conflict"), (i % 13 == 6).cast("int").alias("page_failures"),
+        F.col("lang").alias("language"), ((i % 50 + 50) / F.lit(100.0)).alias("confidence"),
+    )
+    done = source_gates.judged(rows, list(source_gates.SOURCES), source_gates.Given(), "en")
+    return done.select(F.explode("reasons").alias("r")).groupBy("r.kind", "r.reason").agg(F.count(F.lit(1)).alias("n"))
