@@ -145,6 +145,11 @@ def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, perm
     return links.resolve(docs, keys, threshold)
 
 
+def near_links_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_links`` of all documents: doc_id, class_id, n_links."""
+    return near_links(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fingerprints`` of all documents."""
     return fingerprints(documents(spark, sf_dir))

@@ -6,7 +6,7 @@ from corpusloom.llm.byte_pairs import op11_byte_bpe
 from corpusloom.llm.chats import op10_chat_format
 from corpusloom.llm.chosen_path import op9_jaccard_join
 from corpusloom.llm.exact import op6_exact_dedup
-from corpusloom.llm.fingerprint import op1_fingerprints
+from corpusloom.llm.fingerprint import near_links_of_documents, op1_fingerprints
 from corpusloom.llm.languages import op8_language_id
 from corpusloom.llm.line_runs import op4_line_dedup
 from corpusloom.llm.mixing import op7_mixing
@@ -20,7 +20,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_substring_dedup, op3_quality, op4_line_dedup, op5_sentencepiece, op6_exact_dedup, op7_mixing, op8_language_id,
-        op9_jaccard_join, op10_chat_format, op11_byte_bpe, op12_prefix_trie, op13_structure_repair,
+        op9_jaccard_join, near_links_of_documents, op10_chat_format, op11_byte_bpe, op12_prefix_trie, op13_structure_repair,
     )
 }
 
@@ -141,3 +141,5 @@ SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM g.conv_id
 """,
 }
+#: Bands of fingerprints find the links that the join finds.
+ORACLES["near_links_of_documents"] = f"SELECT doc_id, class_id, n_links FROM ({ORACLES['op9_jaccard_join']})"
