@@ -8,6 +8,7 @@ import unicodedata
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -18,6 +19,16 @@ def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
+#: Characters that NFKC leaves as they are, whatever stands beside them; a text of these alone is in NFKC.
+SETTLED = r"\x00-\x7F\u00A1-\u00A7\u00A9\u00AB-\u00AE\u00B0\u00B1\u00B6\u00B7\u00BB\u00BF-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u2010\u2012-\u2016\u2018-\u2023\u20AC"
+
+
+def composed(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with a text column in NFKC; only texts with other than SETTLED characters pass through Python. Null stays null."""
+    odd = F.coalesce(F.col(column).rlike(f"[^{SETTLED}]"), F.lit(False))
+    return rows.where(~odd).unionByName(rows.where(odd).withColumn(column, nfkc(column)))
+
+
 @F.pandas_udf(StringType())
 def folded_key(texts: pd.Series) -> pd.Series:
     """NFKC, case-folded, blanks collapsed."""

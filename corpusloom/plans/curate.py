@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
+from corpusloom.functions.unicode import composed
 from corpusloom.operators.gates import Profile, exact_keep_first, first_reason, profile_gates
 from corpusloom.operators.near import materialised
 
@@ -15,7 +16,8 @@ def decisions(docs: DataFrame, profile: Profile = Profile("general", 200, 0.35))
 
     Gates come before deduplication: a rejected row never claims a key.
     """
-    clean = docs.select("doc_id", "source", "lang", X.cleaned_lines(F.coalesce("text", F.lit(""))).alias("text"))
+    whole = composed(docs.select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text")), "text")
+    clean = whole.withColumn("text", X.cleaned_lines(F.col("text")))
     gated = materialised(clean.withColumn("reason", first_reason(profile_gates(profile, F.col("text"), F.col("lang")))))  # cleaned once for all uses
     passed = exact_keep_first(gated.where("reason is null"), X.text_key(F.col("text")), "doc_id")
     rejected = gated.where("reason is not null").withColumn("duplicate_of", F.lit(None).cast("bigint"))
