@@ -189,7 +189,7 @@ def shingles_exact_jaccard(spark, sf_dir):
     return near.jaccard_pairs(table(spark, sf_dir, "documents"))
 
 
-_GREEDY = f"""WITH RECURSIVE {_PAIRS},
+GREEDY = f"""WITH RECURSIVE {_PAIRS},
 nodes AS (SELECT id, row_number() OVER (ORDER BY id) AS i FROM (SELECT a AS id FROM pairs UNION SELECT b FROM pairs)),
 earlier AS (SELECT n.i, n.id, coalesce(list(p.a) FILTER (p.a IS NOT NULL), []) AS others FROM nodes n LEFT JOIN pairs p ON p.b = n.id GROUP BY n.i, n.id),
 walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS kept UNION ALL
@@ -198,18 +198,18 @@ gone AS (SELECT p.b AS doc_id, arg_min(p.a, p.a::VARCHAR) AS duplicate_of FROM p
     WHERE list_contains(kept, p.a) AND NOT list_contains(kept, p.b) GROUP BY p.b)"""
 
 
-@query(f"{_GREEDY} SELECT doc_id, duplicate_of FROM gone")
+@query(f"{GREEDY} SELECT doc_id, duplicate_of FROM gone")
 def near_dedup_greedy(spark, sf_dir):
     return near.greedy_removed(near.jaccard_pairs(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "duplicate_of")
 
 
-@query(f"{_GREEDY} SELECT doc_id, duplicate_of FROM gone")
+@query(f"{GREEDY} SELECT doc_id, duplicate_of FROM gone")
 def near_dedup_textbooks(spark, sf_dir):
     """Bands for a likeness of 0.8; texts without a shingle stay."""
     return keep_first.near_dedup(table(spark, sf_dir, "documents"), lsh=0.8).select(F.col("id").alias("doc_id"), "duplicate_of")
 
 
-@query(f"""{_GREEDY}, bare AS (SELECT doc_id, min(doc_id) OVER () AS first FROM tok WHERE len(w) < 5)
+@query(f"""{GREEDY}, bare AS (SELECT doc_id, min(doc_id) OVER () AS first FROM tok WHERE len(w) < 5)
 SELECT doc_id, duplicate_of FROM gone UNION ALL SELECT doc_id, first FROM bare WHERE doc_id <> first""")
 def near_dedup_notices(spark, sf_dir):
     """Bands for a likeness of 0.86; texts without a shingle are copies of one another."""

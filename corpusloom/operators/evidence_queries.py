@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from corpusloom.functions import nested, pages
+from corpusloom.functions import classes, nested, pages
 from corpusloom.operators import evidence as V
-from corpusloom.operators import source_gates
+from corpusloom.operators import keep_first, source_gates
+from corpusloom.operators.contracts import strict_join
+from corpusloom.operators.corpus_queries import GREEDY
 from corpusloom.operators.near import shared_folder
 from corpusloom.operators.repair_queries import _values, also
 from corpusloom.sources.files import table
@@ -151,3 +153,52 @@ def source_gate_reasons(spark, sf_dir):
     )
     done = source_gates.judged(rows, list(source_gates.SOURCES), source_gates.Given(), "en")
     return done.select(F.explode("reasons").alias("r")).groupBy("r.kind", "r.reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TYPED = [(-1, "Stanowisko ZUS.pdf", "x", ""), (-2, "Odniesienie do uwag", "", ""), (-3, "a", "Pismo kierujące", "uwagi"), (-4, "Projekt", "rozporządzenia", ""), (-5, "b", "c", "nasza OPINIA"), (-6, None, None, None), (-7, "projekt", "x", "x" * 4000 + " uwagi"), (-8, "odniesienie", "", "Uwag brak")]
+
+
+@query(f"""WITH d AS (SELECT doc_id, source AS filename, lang AS category, text FROM documents UNION ALL {_values(_TYPED)}),
+l AS (SELECT doc_id, lower(coalesce(filename, '') || chr(10) || coalesce(category, '')) AS n, lower(coalesce(filename, '') || chr(10) || coalesce(category, '') || chr(10) || left(coalesce(text, ''), 4000)) AS w FROM d)
+SELECT doc_id, CASE WHEN contains(n, 'stanowisk') THEN 'organization_comment' WHEN contains(n, 'odniesienie') AND contains(n, 'uwag') THEN 'government_response' WHEN contains(n, 'pismo kierujące') OR contains(n, 'pismo kierujace') THEN 'cover_letter'
+WHEN contains(n, 'projekt') AND (contains(n, 'ustawy') OR contains(n, 'rozporządzenia')) THEN 'draft_law' WHEN contains(w, 'stanowisk') OR contains(w, 'uwag') OR contains(w, 'opinia') THEN 'organization_comment' ELSE 'other' END AS kind FROM l""")
+def document_types(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("filename"), F.col("lang").alias("category"), "text")
+    return also(docs, _TYPED).select("doc_id", classes.document_type(F.col("filename"), F.col("category"), F.col("text")).alias("kind"))
+
+
+@query("""SELECT doc_id, CASE WHEN quality = 0 THEN '3_exclusion_confirmation' WHEN toxic = 1 OR toxic IS NULL THEN '1_training_candidate_with_pii' ELSE '2_training_candidate_low_pii' END AS priority,
+CASE WHEN quality = 0 THEN 'Confirm.' WHEN toxic = 1 OR toxic IS NULL THEN 'Use? Mind names.' ELSE 'Use?' END AS question FROM documents LEFT JOIN labels USING (doc_id)""")
+def legal_review(spark, sf_dir):
+    """Priority and question of each document; labels stand in for recommendation and personal data."""
+    rows = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    told = F.when(F.col("quality") == 0, "exclude").otherwise("include")
+    pii = F.when(F.col("toxic") == 1, "yes").when(F.col("toxic") == 0, "no").otherwise("uncertain")
+    return rows.select("doc_id", classes.legal_priority(told, pii).alias("priority"), classes.legal_question(told, pii, "Use?", "Confirm.", "Mind names.").alias("question"))
+
+
+@query("""SELECT o.o_orderkey, o.o_orderstatus, l.qty, c.c_name FROM orders o LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS qty FROM lineitem GROUP BY 1) l ON l.l_orderkey = o.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey""")
+def review_pack(spark, sf_dir):
+    """Queue rows with what was observed, if anything, and what must be there: a row without it fails the job."""
+    seen = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"))
+    queue = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("c_custkey")).join(seen, "o_orderkey", "left")
+    return strict_join(queue, table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey").select("o_orderkey", "o_orderstatus", "qty", "c_name")
+
+
+@query("SELECT o_orderkey, 'True' AS selected FROM orders WHERE CASE o_orderstatus WHEN 'F' THEN 'True' WHEN 'O' THEN 'true' END = 'True'")
+def selected_as_text(spark, sf_dir):
+    """Rows whose flag, a text, is exactly True; other spellings and nulls aren't selected."""
+    flag = F.when(F.col("o_orderstatus") == "F", "True").when(F.col("o_orderstatus") == "O", "true")
+    return table(spark, sf_dir, "orders").select("o_orderkey", flag.alias("selected")).where(F.col("selected") == "True")
+
+
+@query(f"""{GREEDY.replace('FROM documents)', 'FROM documents WHERE n_chars >= 500)')}
+SELECT d.doc_id, n_chars >= 500 AND g.doc_id IS NULL AS selected, CASE WHEN n_chars < 500 THEN 'too_short' WHEN g.doc_id IS NOT NULL THEN 'near_duplicate' ELSE 'include' END AS reason, g.duplicate_of FROM documents d LEFT JOIN gone g ON g.doc_id = d.doc_id""")
+def decision_updates(spark, sf_dir):
+    """Decisions after the gates, updated by what near-duplicate removal took out of the selected rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    decided = docs.select("doc_id", (F.col("n_chars") >= 500).alias("selected"), F.when(F.col("n_chars") < 500, "too_short").otherwise("include").alias("reason"))
+    removed = keep_first.near_dedup(docs.where("n_chars >= 500")).select(F.col("id").alias("doc_id"), "duplicate_of")
+    both = decided.join(removed, "doc_id", "left")
+    gone = F.col("duplicate_of").isNotNull()
+    return both.select("doc_id", (F.col("selected") & ~gone).alias("selected"), F.when(gone, "near_duplicate").otherwise(F.col("reason")).alias("reason"), "duplicate_of")
