@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import buffers, slices
 from corpusloom.llm.linear_features import texts_of
-from corpusloom.llm.runtime import documents, parts, stored, tidy
+from corpusloom.llm.runtime import documents, holds, parts, stored, tidy
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Most code points of a text that one task encodes as a whole.
@@ -286,6 +286,7 @@ class Ids:
 
 
 _codecs: dict[bytes, Codec] = {}
+holds("byte_pairs", _codecs.clear)
 
 
 def codec(raw: bytes, pattern: str) -> Codec:
@@ -326,7 +327,7 @@ def decode(rows: DataFrame, raw: bytes, pattern: str = public_tokenizers.PATTERN
             texts = [own.decode(np.array(x.as_py() or [], dtype="<u4").tobytes()).decode(errors="replace") for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id bigint, text string")
+    return rows.select("doc_id", "ids").mapInArrow(tidy(run, "byte_pairs"), "doc_id bigint, text string")
 
 
 def _run(docs: DataFrame, raw: bytes, pattern: str, segment: int, sink: type) -> DataFrame:
@@ -382,11 +383,11 @@ def _run(docs: DataFrame, raw: bytes, pattern: str, segment: int, sink: type) ->
     pieces = pa.schema([("row", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("glued", pa.bool_()), ("text", pa.string())])
     encoded = pa.schema([*list(pieces)[:4], ("ids", pa.binary()), ("head", pa.int64()), ("tail", pa.int64())])
     texts = texts_of(docs)
-    short = texts.where(F.length("text") <= segment).mapInArrow(tidy(whole), schema)
+    short = texts.where(F.length("text") <= segment).mapInArrow(tidy(whole, "byte_pairs"), schema)
     long = texts.where(F.length("text") > segment).withColumn("row", F.monotonically_increasing_id())
-    cut = stored(long.mapInArrow(tidy(cut_up), "row bigint, part bigint, doc_id bigint, glued boolean, text string"), "segments")
-    ids = cut.repartition(n, "row", "part").mapInArrow(tidy(ids_of), "row bigint, part bigint, doc_id bigint, glued boolean, ids binary, head bigint, tail bigint")
-    return short.unionAll(ids.repartition(n, "row").sortWithinPartitions("row", "part").mapInArrow(tidy(joined), schema))
+    cut = stored(long.mapInArrow(tidy(cut_up, "byte_pairs"), "row bigint, part bigint, doc_id bigint, glued boolean, text string"), "segments")
+    ids = cut.repartition(n, "row", "part").mapInArrow(tidy(ids_of, "byte_pairs"), "row bigint, part bigint, doc_id bigint, glued boolean, ids binary, head bigint, tail bigint")
+    return short.unionAll(ids.repartition(n, "row").sortWithinPartitions("row", "part").mapInArrow(tidy(joined, "byte_pairs"), schema))
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import buffers, slices
 from corpusloom.llm.linear_features import texts_of
-from corpusloom.llm.runtime import documents, tidy
+from corpusloom.llm.runtime import documents, holds, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -250,6 +250,7 @@ class Codec:
 
 
 _codecs: dict[bytes, Codec] = {}
+holds("pieces", _codecs.clear)
 
 
 def codec(raw: bytes) -> Codec:
@@ -283,7 +284,7 @@ def decode(rows: DataFrame, raw: bytes) -> DataFrame:
             texts = [own.decode(np.array(x.as_py() or [], dtype=np.int64)) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id bigint, text string")
+    return rows.select("doc_id", "ids").mapInArrow(tidy(run, "pieces"), "doc_id bigint, text string")
 
 
 def digests(docs: DataFrame, raw: bytes) -> DataFrame:
@@ -313,7 +314,7 @@ def _run(docs: DataFrame, raw: bytes, one, kinds: list[tuple]) -> DataFrame:
                 columns = [pa.array([x[k] for x in out], kind) for k, (_, kind, _) in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), *columns], names)
 
-    return texts_of(docs).mapInArrow(tidy(run), "doc_id bigint, " + ", ".join(f"{a} {c}" for a, _, c in kinds))
+    return texts_of(docs).mapInArrow(tidy(run, "pieces"), "doc_id bigint, " + ", ".join(f"{a} {c}" for a, _, c in kinds))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

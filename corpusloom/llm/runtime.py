@@ -24,10 +24,32 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, BATCH_BYTES)
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for mapInArrow, which gives freed memory back to the system when a task ends: workers live on and wait beside the next ones."""
+#: What modules keep in a worker process between tasks, and how each lets it go.
+_held: dict[str, Callable[[], None]] = {}
+
+
+def holds(name: str, forget: Callable[[], None]) -> None:
+    """Tell that a module keeps something large in worker processes under ``name``."""
+    _held[name] = forget
+
+
+def let_go(keeps: str) -> None:
+    """Forget all that modules keep in this process but for ``keeps``."""
+    for name, forget in _held.items():
+        if name != keeps:
+            forget()
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, which gives freed memory back to the system when a task ends: workers live on and wait beside the next ones.
+
+    What other operators' tasks have left in the worker, but for ``keeps``, is let go first.
+    """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from corpusloom.llm import runtime  # the worker's own module, not what travelled with this function
+
+        runtime.let_go(keeps)
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):

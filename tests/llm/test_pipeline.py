@@ -63,3 +63,23 @@ def test_shape():
     assert corpus_pipeline.ORACLE_SQL is None
     assert all(len(inspect.signature(f).parameters) == 3 for _, f in corpus_pipeline.STAGES)
     assert check_mix
+
+
+def test_a_worker_lets_go_what_other_operators_left(spark):
+    """A codec stays in a worker over its operator's tasks only."""
+    from corpusloom.llm import byte_pairs, pieces
+    from corpusloom.llm.runtime import tidy
+
+    docs = spark.createDataFrame([(k, "some text here") for k in range(4)], "doc_id bigint, text string").coalesce(1)
+
+    def held(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(pieces.codec.__globals__["_codecs"]), len(byte_pairs.codec.__globals__["_codecs"])]})
+
+    def left(keeps):
+        pieces.digests(docs, pieces.model_file()).collect()
+        return [r["n"] for r in docs.mapInArrow(tidy(held, keeps), "n bigint").collect()]
+
+    assert left("")[0] == 0 and left("byte_pairs")[0] == 0
