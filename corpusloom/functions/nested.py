@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from corpusloom.functions import text as X
 from corpusloom.functions import unicode as U
@@ -59,7 +62,12 @@ def narratives(records: DataFrame, key: str, json: str, fields: Sequence[str], l
     own = leaves(records, key, json).where((F.size("path") > 0) & F.get("path", F.lit(0))["key"].isNotNull() & F.col("value").isNotNull() & (place > 0))
     own = own.where(F.forall(below, lambda x: x["key"].isNull() | (x["key"] == language)))
     order = F.struct(place.alias("field"), F.transform("path", lambda x: x["pos"]).alias("at"))
-    plain = materialised(own.select(key, order.alias("order"), X.cleaned_lines(U.nfkc("value")).alias("plain")).where("plain <> ''"))
+    return chunks_of(records, own.select(key, order.alias("order"), "value"), key)
+
+
+def chunks_of(records: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """key, chunks, redactions of each record, from its ``texts`` (key, order, value)."""
+    plain = materialised(texts.select(key, "order", X.cleaned_lines(U.nfkc("value")).alias("plain")).where("plain <> ''"))
     counts = X.redaction_counts(F.col("plain"))
     texts = plain.select(key, "order", X.redacted(F.col("plain")).alias("text"), *(c.alias(f"n_{k}") for k, c in counts.items()))
     keyed = texts.withColumn("same", U.folded_key("text"))
@@ -68,3 +76,51 @@ def narratives(records: DataFrame, key: str, json: str, fields: Sequence[str], l
     redactions = keyed.groupBy(key).agg(F.create_map(*(x for k in counts for x in (F.lit(k), F.sum(f"n_{k}")))).alias("redactions"))
     whole = records.select(key).distinct().join(chunks, key, "left").join(redactions, key, "left")
     return whole.select(key, F.coalesce("chunks", F.array().cast("array<string>")).alias("chunks"), "redactions")
+
+
+def form_narratives(records: DataFrame, key: str, xml: str, language: str = "PL") -> DataFrame:
+    """key, chunks, redactions, authors, error of records whose XML holds forms in several languages: as ``narratives``,
+    from the paragraphs of the original form in one language, but for those of the contracting body; authors are its names.
+
+    Broken XML gives an error and no chunks; null gives neither.
+    """
+    read = materialised(records.select(key, form_parts(language)(xml).alias("f")))
+    texts = read.select(key, F.posexplode("f.texts").alias("order", "value"))
+    return chunks_of(records, texts, key).join(read.select(key, F.coalesce("f.authors", F.array().cast("array<string>")).alias("authors"), "f.error"), key)
+
+
+FORM = StructType([StructField("texts", ArrayType(StringType())), StructField("authors", ArrayType(StringType())), StructField("error", StringType())])
+
+
+def parts_of_form(raw: bytes, language: str) -> tuple[list[str], list[str]]:
+    """Paragraphs in document order, and the official names of the contracting body, each once and sorted."""
+    texts, authors = [], set()
+    for form in ElementTree.fromstring(raw).iter():
+        if form.get("LG") != language or form.get("CATEGORY") != "ORIGINAL":
+            continue
+        waiting = [(form, False)]  # elements, and whether they are below a contracting body
+        while waiting:
+            node, body = waiting.pop()
+            name = node.tag.rpartition("}")[2] if isinstance(node.tag, str) else ""
+            if name == "OFFICIALNAME" and body and (told := " ".join((node.text or "").split())):
+                authors.add(told)
+            if name == "P" and not body:
+                texts.append(" ".join(node.itertext()))
+            waiting += [(child, body or name == "CONTRACTING_BODY") for child in reversed(node)]
+    return texts, sorted(authors)
+
+
+def form_parts(language: str):
+    """A pandas UDF: struct of texts, authors and error of a column of XML (text or binary)."""
+
+    @F.pandas_udf(FORM)
+    def parts(column: pd.Series) -> pd.DataFrame:
+        rows = []
+        for raw in column:
+            try:
+                rows.append((None, None, None) if raw is None else (*parts_of_form(raw if isinstance(raw, str) else bytes(raw), language), None))
+            except (ElementTree.ParseError, ValueError, LookupError) as error:
+                rows.append((None, None, f"{type(error).__name__}: {error}"))
+        return pd.DataFrame(rows, columns=["texts", "authors", "error"])
+
+    return parts

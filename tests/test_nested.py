@@ -49,3 +49,14 @@ def test_narratives(spark):
     assert found[1][1]["email"] == found[1][1]["phone"] == 1
     assert found[2][0] == ["POLSKI tytuł firmy zamawiającej", "Drugi opis części zamówienia", "Trzeci opis, bez języka w ogóle"]
     assert found[3][0] == found[4][0] == found[5][0] == []
+
+
+FORMS = """<R><FORM LG="PL" CATEGORY="ORIGINAL"><CONTRACTING_BODY><OFFICIALNAME> Gmina  Testowa </OFFICIALNAME><P>Akapit zamawiającego, którego nikt nie czyta</P></CONTRACTING_BODY>
+<OFFICIALNAME>Nie stąd</OFFICIALNAME><OBJECT><P>Dostawa <b>sprzętu</b> komputerowego</P><P>DOSTAWA sprzętu  komputerowego</P><P>krótki</P><P>Kontakt: a@b.pl, tel. 123 456 789</P></OBJECT></FORM>
+<FORM LG="PL" CATEGORY="TRANSLATION"><P>Tłumaczenie, które się nie liczy wcale</P></FORM><FORM LG="EN" CATEGORY="ORIGINAL"><P>An English paragraph of some length</P></FORM></R>"""
+
+
+def test_forms(spark):
+    table = spark.createDataFrame([(1, FORMS), (2, "<R><P>Poza formularzem, więc nie czytany</P></R>"), (3, "<broken"), (4, None)], "id int, xml string")
+    found = {r["id"]: (r["chunks"], r["authors"], r["error"] is not None) for r in nested.form_narratives(table, "id", "xml").collect()}
+    assert found == {1: (["Dostawa sprzętu komputerowego", "Kontakt: [PII], [Telefon]"], ["Gmina Testowa"], False), 2: ([], [], False), 3: ([], [], True), 4: ([], [], False)}
