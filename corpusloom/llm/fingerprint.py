@@ -133,7 +133,9 @@ def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, perm
 
     Signature bands are joined in Spark; the pairs that meet in a band are verified on
     the exact sets. One row for each document: doc_id, class_id (smallest doc_id of its
-    linked group) and n_links. Texts without a word have no links.
+    linked group) and n_links. Texts without a word, null ones among them, have no links. Rows
+    that repeat a doc_id or a text, and rows without doc_id, are documents like others; ties are
+    links alike, an empty table gives an empty result, and other columns are ignored.
     """
     width = permutations // bands
     hasher = MinHash(permutations)

@@ -276,7 +276,11 @@ def encode(docs: DataFrame, raw: bytes) -> DataFrame:
 
 
 def decode(rows: DataFrame, raw: bytes) -> DataFrame:
-    """doc_id, text for every row of ``rows`` (doc_id, ids)."""
+    """doc_id, text for every row of ``rows`` (doc_id, ids).
+
+    Null and empty ids give an empty text; ids of no piece fail. Repeated rows and rows without doc_id
+    each give a row; ties don't matter, an empty table gives an empty result, other columns are ignored.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(raw)
@@ -318,4 +322,5 @@ def _run(docs: DataFrame, raw: bytes, one, kinds: list[tuple]) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``digests`` of all documents by the given model."""
     return digests(documents(spark, sf_dir), model_file())

@@ -155,5 +155,6 @@ def quality(docs: DataFrame, machine: Machine | None) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``quality`` of all documents by the machine that ``train`` makes of them and their labels."""
     docs = documents(spark, sf_dir)
     return quality(docs, train(docs, documents(spark, sf_dir, "labels")))
