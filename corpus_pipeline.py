@@ -1,4 +1,10 @@
-"""From raw documents to token ids: the stages of a training corpus, each a Spark job of its own."""
+"""From raw documents to token ids: the stages of a training corpus, each a Spark job of its own.
+
+Null, empty and blank texts go in the first stage; rows that repeat a doc_id, or have none, are
+rows like others throughout, and ties are decided as the operators' docstrings say. Texts are
+whole rows of any length. An empty table gives empty results. Extra columns of any name travel
+to the stage before the last.
+"""
 
 from __future__ import annotations
 
