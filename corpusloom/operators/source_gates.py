@@ -115,7 +115,7 @@ def textbook(text: Column, wanted: str) -> list[Gate]:
         Gate("frontmatter_index_bibliography_or_answer_key", F.col("slug").rlike(FRONT_SLUG)),
         Gate("unconverted_math", F.col("math_failed") > 0),
         Gate("too_short", F.length(text) < 200),
-        Gate("low_letter_ratio", share(LATIN, text) < 0.35),
+        Gate("low_letter_ratio", F.col("latin") < 0.35),
         Gate("high_confidence_non_polish", foreign(0.99, wanted)),
     ]
 
@@ -125,7 +125,7 @@ def chemistry(text: Column, wanted: str) -> list[Gate]:
         Gate("frontmatter_or_bibliography", F.col("title").rlike(FRONT_TITLE)),
         Gate("too_short", F.length(text) < 200),
         Gate("unbalanced_math", F.col("math_unbalanced")),
-        Gate("low_letter_ratio", share(LATIN, text) < 0.35),
+        Gate("low_letter_ratio", F.col("latin") < 0.35),
         Gate("non_polish", foreign(0.99, wanted)),
         Gate("missing_authorship", ~named(F.col("authors")), overrides=True),
     ]
@@ -141,15 +141,16 @@ def lesson(text: Column, wanted: str) -> list[Gate]:
 
 
 def guide(text: Column, wanted: str) -> list[Gate]:
-    garbled = sum((F.regexp_count(F.lower(text), F.lit(word)) for word in GARBLED), F.lit(0))
+    plain = F.octet_length(text) == F.length(text)  # ASCII alone has none of the characters looked for
+    garbled = F.transform(F.array(F.lower(text)), lambda low: sum((F.regexp_count(low, F.lit(word)) for word in GARBLED), F.lit(0)))[0]  # bound: lower case is made once
     return [
         Gate("rights_or_authorship_conflict", F.col("rights_conflict")),
         Gate("page_extraction_failure", F.col("page_failures") > 0),
-        Gate("text_extraction_garbled", text.rlike("[\\u0080-\\u009F\\uFFFD]")),
-        Gate("text_extraction_split_diacritics", text.rlike("\\p{Mn}")),
+        Gate("text_extraction_garbled", ~plain & text.rlike("[\\u0080-\\u009F\\uFFFD]")),
+        Gate("text_extraction_split_diacritics", ~plain & text.rlike("\\p{Mn}")),
         Gate("text_extraction_legacy_font_mapping", garbled > 10),
         Gate("too_little_extractable_text", F.length(text) < 1000),
-        Gate("low_letter_ratio", share(POLISH, text) < 0.55),
+        Gate("low_letter_ratio", F.col("polish") < 0.55),
         Gate("non_polish", foreign(0.98, wanted)),
     ]
 
@@ -158,7 +159,7 @@ def academic(text: Column, wanted: str) -> list[Gate]:
     unread = F.regexp_count(text, F.lit("\\uFFFD"))
     return [
         Gate("too_little_extractable_text", F.length(text) < 5000),
-        Gate("low_letter_ratio", share(POLISH, text) < 0.55),
+        Gate("low_letter_ratio", F.col("polish") < 0.55),
         Gate("excessive_unreadable_glyphs", (unread > 5) | (unread / F.greatest(F.length(text), F.lit(1)) > 0.00001)),
         Gate("non_polish", foreign(0.95, wanted)),
     ]
@@ -166,7 +167,7 @@ def academic(text: Column, wanted: str) -> list[Gate]:
 
 def notice(text: Column, wanted: str) -> list[Gate]:
     return [
-        Gate("replacement_character", text.rlike("\\uFFFD")),
+        Gate("replacement_character", F.contains(text, F.lit("\uFFFD"))),
         Gate("missing_contracting_authority", ~named(F.col("authors"))),
         Gate("too_short_after_cleaning", F.length(text) < 300),
         Gate("non_polish", foreign(0.98, wanted)),
@@ -181,9 +182,10 @@ def judged(rows: DataFrame, kinds: list[str], provider: Provider, wanted: str =
 
     ``rows`` has text (null counts as empty) and what the gates of the kinds look at: slug, title,
     authors, math_failed, math_unbalanced, license_on_page, license_in_source, rights_conflict,
-    page_failures. The language is asked for once a row. Columns named said and reasons are replaced.
+    page_failures. The language is asked for once a row, and shares of letters are found once,
+    if a kind asks for them. Columns named said, latin, polish and reasons are replaced.
     """
     text = F.coalesce("text", F.lit(""))
-    asked = rows.withColumn("said", provider.of(text))
+    asked = rows.withColumns({"said": provider.of(text), "latin": share(LATIN, text), "polish": share(POLISH, text)})
     reasons = F.array(*(F.struct(F.lit(k).alias("kind"), reason_of(SOURCES[k](text, wanted)).alias("reason")) for k in kinds))
-    return asked.withColumn("reasons", reasons).drop("said")
+    return asked.withColumn("reasons", reasons).drop("said", "latin", "polish")

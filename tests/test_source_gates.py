@@ -57,3 +57,11 @@ def test_a_trained_provider(spark):
     assert G.judged(table, ["notice"], model, "en").columns == ["text", "authors", "reasons"]
     empty = G.Trigrams.train(docs.where("false"))
     assert empty.classify("some text") == ("unknown", 0.0)
+
+
+def test_texts_are_judged_once(spark):
+    from corpusloom.operators.evidence_queries import source_gate_reasons
+
+    plan = source_gate_reasons(spark, "/root/testdata/sf0.01")._jdf.queryExecution().optimizedPlan().toString()
+    # eleven words, unreadable glyphs as a number and as a share, and a count of letters for each of two alphabets
+    assert plan.count("regexp_extract_all") == 15 and plan.count("lower(") == 1
