@@ -200,7 +200,8 @@ gone AS (SELECT p.b AS doc_id, arg_min(p.a, p.a::VARCHAR) AS duplicate_of FROM p
 
 @query(f"{GREEDY} SELECT doc_id, duplicate_of FROM gone")
 def near_dedup_greedy(spark, sf_dir):
-    return near.greedy_removed(near.jaccard_pairs(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "duplicate_of")
+    """Candidates by pieces of sets, which lose no pair."""
+    return keep_first.near_dedup(table(spark, sf_dir, "documents"), lsh=None).select(F.col("id").alias("doc_id"), "duplicate_of")
 
 
 @query(f"{GREEDY} SELECT doc_id, duplicate_of FROM gone")
