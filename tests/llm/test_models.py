@@ -238,3 +238,15 @@ def test_formatted(spark, monkeypatch):
                 assert cost == brute_repair(list(given.values()))
     assert results[0] == results[1]
     assert chats.formatted(turns.limit(0)).count() == 0
+
+
+def test_what_a_worker_remembers_of_pieces_is_bounded():
+    own = pieces.Codec(pieces.Model.parse(pieces.model_file()))
+    texts = [" ".join(f"q{k:x}z" for k in range(begin, begin + 1000)) for begin in range(0, 180_000, 1000)]
+    for text in texts:
+        own.encode(text)
+    assert 0 < len(own.cache) + len(own.cache.old) <= 120_000 and len(own.pairs) <= 250_000
+    own.pairs = dict.fromkeys(range(1 << 50, (1 << 50) + pieces.PAIRS), True)  # full
+    ids = own.encode("unheard-of " + texts[0])
+    assert len(own.pairs) < pieces.PAIRS
+    assert ids.tolist() == pieces.Codec(own.model).encode("unheard-of " + texts[0]).tolist()
