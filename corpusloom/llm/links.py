@@ -6,11 +6,13 @@ The way is the same for every kind of bucket:
 2. Nodes of a bucket of at most SMALL nodes are paired, and pairs whose sketches rule out
    the threshold are dropped. What passes is a tight edge. One task compares all sketches of
    a bucket of up to BLOCK nodes and gives a spanning forest of its tight edges.
-3. In a larger bucket every node is compared with the smallest one, the centre. Those very
-   like it (``leaves``) are joined to it and leave the bucket with it. By the triangle
+3. In a larger bucket every node is compared with the centre, one of the nodes whose sketches
+   begin as most do there, so that a large group of near copies meets one of its own. Those
+   very like it (``leaves``) are joined to it and leave the bucket with it. By the triangle
    inequality of sketches, whatever is tight to one that leaves is at least ``joins`` like
    the centre; such nodes are compared with all that leave, and stay in the bucket too. So no
-   tight pair is lost. What stays large is compared block by block.
+   tight pair is lost. Rounds go on while they take a fair share (ROUND) of what is large; what
+   stays large is compared block by block.
 4. All nodes of a connected group of tight edges are verified exactly by a matrix product of
    incidence: a node's set goes to its group once for each other block in a group of over
    BLOCK nodes or BLOCK_SHINGLES shingles.
@@ -44,6 +46,10 @@ SKETCH = 64
 SLACK = 0.25
 #: In a large bucket, a node that shares this much of the centre's sketch leaves with it.
 LEAVES = 0.75
+#: Sketch values by which the most frequent kind of node in a large bucket is found.
+KIND = 4
+#: The least share of the nodes in large buckets that leaves in a round which is followed by another.
+ROUND = 0.1
 #: Edges that one task contracts.
 EDGES = 200_000
 #: Most sketches (SKETCH bytes each) that are broadcast.
@@ -165,9 +171,11 @@ def by_size(members: DataFrame, threshold: float) -> DataFrame:
 
 def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[list[DataFrame], DataFrame]:
     """One round over buckets (bucket, node, size, sketch): tight edges (u, v) of what leaves, and the buckets without it."""
-    centres = cut(left.groupBy("bucket").agg(F.min(F.struct("node", "sketch")).alias("c")).select("bucket", F.col("c.node").alias("u"), F.col("c.sketch").alias("a")))
+    kinds = left.groupBy("bucket", F.substring("sketch", 1, KIND).alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "sketch")).alias("c"))
+    most = kinds.groupBy("bucket").agg(F.max_by("c", F.struct("n", "c.node")).alias("c"))
+    centres = cut(most.select("bucket", F.col("c.node").alias("u"), F.col("c.sketch").alias("a")))
     few = F.broadcast(centres) if centres.count() <= SKETCH_ROWS else centres
-    star = left.join(few, "bucket").where("node > u").select("bucket", "u", "a", "node", "size", "sketch")
+    star = left.join(few, "bucket").where("node <> u").select("bucket", "u", "a", "node", "size", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "u", "node", "size", "sketch"]
@@ -184,6 +192,21 @@ def strip(left: DataFrame, one: DataFrame, threshold: float) -> tuple[list[DataF
     return edges, alike.where(F.col("same") < LEAVES).select("bucket", "node", "size", "sketch")
 
 
+def rounds(large: DataFrame, one: DataFrame, threshold: float) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame], DataFrame]:
+    """``strip`` of large buckets (bucket, node, size, sketch) while it takes a fair share: edges, what is left as small, as middle and as large ones."""
+    edges, small, middle = [], [], []
+    while not large.isEmpty():
+        found, rest = strip(large, one, threshold)
+        edges += found
+        ends = rest.count() > (1 - ROUND) * large.count()
+        fewer, some, large = split_by_size(rest)
+        small.append(fewer)
+        middle.append(some)
+        if ends:
+            break
+    return edges, small, middle, large
+
+
 def beside(gone: DataFrame, others: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
     """Edges (u, v) of the ``others`` (u, v) that are tight to one of ``gone`` (u, v) with the same centre u."""
     many = gone.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
@@ -229,7 +252,8 @@ def block_edges(left: DataFrame, threshold: float) -> DataFrame:
     """Edges (u, v) that connect what is tight in large buckets: a spanning forest for each pair of blocks."""
     sizes = cut(left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
     placed = left.join(small_side(sizes), "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    dealt = placed.withColumn("p", block_pairs()).select("bucket", "p.i", "p.j", "node", "sketch")
+    single = placed.where("blocks = 1").select("bucket", "own", F.col("own").alias("j"), "node", "sketch")
+    dealt = placed.where("blocks > 1").withColumn("p", block_pairs()).select("bucket", "p.i", "p.j", "node", "sketch").union(single)
     least = round(tight(threshold) * SKETCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,16 +492,21 @@ def resolve(docs: DataFrame, keys: Keys, threshold: float, deeper: Callable[[Dat
             fewer, middle, large = split_by_size(by_size(rest, threshold))
             small = small.unionByName(fewer.select("bucket", "node"))
             blocks.append(middle)
+            found, fewer, middle, large = rounds(large, one, threshold)
+            edges += found
+            for more in fewer:
+                small = small.unionByName(more.select("bucket", "node"))
+            blocks += middle
             large = large.select("bucket", "node")
         if not large.isEmpty():
             more, middle, large = deeper(large, one)
             small = small.unionByName(more)
             blocks.append(middle.distinct().join(marks, "node"))
     if not large.isEmpty():
-        found, rest = strip(large.select("bucket", "node").distinct().join(marks, "node"), one, threshold)
-        fewer, middle, large = split_by_size(rest)
-        small = small.unionByName(fewer.select("bucket", "node"))
-        blocks += [middle, large]
+        found, fewer, middle, large = rounds(cut(large.select("bucket", "node").distinct().join(marks, "node")), one, threshold)
+        for more in fewer:
+            small = small.unionByName(more.select("bucket", "node"))
+        blocks += [*middle, large]
         edges += found
     for more in blocks[1:]:
         blocks[0] = blocks[0].unionByName(more)
