@@ -33,8 +33,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Chunks and pairs of pieces that a worker remembers: some 25 and 40 MB, whatever the number of texts.
-CACHED = 60_000
+#: Chunks (in each of two generations) and pairs of pieces that a worker remembers: some 15 and 25 MB, whatever the number of texts.
+CACHED = 40_000
 PAIRS = 250_000
 
 
@@ -188,15 +188,18 @@ class Codec:
         n = len(text)
         last, size = [-1] * (n + 1), [0] * (n + 1)
         ends = -1
+        known = self.pairs.get
         for end, (piece, length, _) in self.automaton.iter(text):  # longest first at each end
             at = end + 1
             if at == ends:
                 continue
             before = at - length
             if before == 0:
-                good = len(text) == length or self.alone(piece)
-            else:
-                good = last[before] >= 0 and self.fits(last[before], piece)
+                good = n == length or self.alone(piece)
+            elif (left := last[before]) < 0:
+                continue
+            elif (good := known(left << 32 | piece)) is None:
+                good = self.fits(left, piece)
             if good:
                 last[at], size[at], ends = piece, length, at
         out, at = [], n

@@ -40,20 +40,26 @@ def let_go(keeps: str) -> None:
             forget()
 
 
+def give_back() -> None:
+    """Give freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run`` for mapInArrow, which gives freed memory back to the system when a task ends: workers live on and wait beside the next ones.
 
-    What other operators' tasks have left in the worker, but for ``keeps``, is let go first.
+    What other operators' tasks have left in the worker, but for ``keeps``, is let go and given back first.
     """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from corpusloom.llm import runtime  # the worker's own module, not what travelled with this function
 
         runtime.let_go(keeps)
+        runtime.give_back()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-            libc.malloc_trim(0)
+        runtime.give_back()
 
     return wrapped
 
@@ -175,7 +181,9 @@ def dense_ids(df: DataFrame, *order: Column, name: str) -> DataFrame:
     for part, n in sizes:  # one entry for each partition, a number the session fixes
         offsets.append((part, before))
         before += n
-    table = df.sparkSession.createDataFrame(offsets or [(0, 0)], "_part bigint, _before bigint")
+    numbers = [pa.array(x, pa.int64()) for x in zip(*(offsets or [(0, 0)]))]
+    # From Arrow: a list would go through Python workers of another kind, which then stay beside those of the operators.
+    table = df.sparkSession.createDataFrame(pa.Table.from_arrays(numbers, ["_part", "_before"]))
     return gaps.join(F.broadcast(table), "_part").withColumn(name, F.col("_row") + F.col("_before")).drop(
         "_part", "_row", "_before", "_gap"
     )

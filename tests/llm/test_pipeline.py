@@ -1,6 +1,8 @@
 import inspect
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from corpusloom.llm import languages
 from corpusloom.llm.runtime import documents
 
@@ -83,3 +85,26 @@ def test_a_worker_lets_go_what_other_operators_left(spark):
         return [r["n"] for r in docs.mapInArrow(tidy(held, keeps), "n bigint").collect()]
 
     assert left("")[0] == 0 and left("byte_pairs")[0] == 0
+
+
+def test_a_worker_gives_back_what_others_left_before_it_begins(monkeypatch):
+    from corpusloom.llm import runtime
+
+    seen = []
+    monkeypatch.setattr(runtime, "let_go", lambda keeps: seen.append(keeps))
+    monkeypatch.setattr(runtime, "give_back", lambda: seen.append("back"))
+    assert list(runtime.tidy(lambda batches: (seen.append("run") or x for x in batches), "own")(iter([1]))) == [1]
+    assert seen == ["own", "back", "run", "back"]
+
+
+def test_numbering_starts_no_python_workers(spark, monkeypatch):
+    """Workers of an RDD of Python objects would stay in each executor beside those of the operators."""
+    from corpusloom.llm.runtime import dense_ids
+
+    def parallelize(*_):
+        raise AssertionError("a table went through Python workers")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", parallelize)
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
+    assert sorted((r["x"], r["n"]) for r in dense_ids(rows, F.col("x"), name="n").collect()) == [(k, k) for k in range(1000)]
+    assert dense_ids(rows.limit(0), F.col("x"), name="n").collect() == []
