@@ -111,11 +111,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name.replace(' ', '_')}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: smaller than a checkpoint, and read by columns."""
-    where = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(where)
-    return df.sparkSession.read.parquet(where)
+    """``df`` written to the shared folder and read again: smaller than a checkpoint, and read by columns.
+
+    The shuffle files of the write go when it ends, not when the driver happens to collect its garbage.
+    """
+    spark, where = df.sparkSession, scratch(df.sparkSession, name)
+    held = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(where)
+    finally:
+        spark.conf.set(_CLEANUP, held)
+    return spark.read.parquet(where)
 
 
 def parts(spark: SparkSession) -> int:

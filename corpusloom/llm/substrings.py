@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.blocks import U, buffers, mix, slices, words
-from corpusloom.llm.runtime import BROADCAST_ROWS, cut, documents, small_side, stored, tidy
+from corpusloom.llm.runtime import BROADCAST_ROWS, documents, small_side, stored, tidy
 from corpusloom.llm.units import APART, cut_out, local, report, texts_apart, variants, with_spans
 
 PASSAGE = 50
@@ -114,8 +114,8 @@ def all_segments(docs: DataFrame) -> DataFrame:
 def later(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, begin, n) of the ``units`` that aren't the first of equal (least, mark), and one row for each of these: least, doc_id, begin, n."""
     groups = units.groupBy("least", "mark").agg(F.min(F.struct("doc_id", "begin", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
-    groups = cut(groups)
-    many = cut(groups.where("members > 1").select("least", "mark", "first"))
+    groups = stored(groups, "groups")
+    many = groups.where("members > 1").select("least", "mark", "first")
     found = units.join(many, ["least", "mark"]).where("doc_id <> first.doc_id or begin <> first.begin")
     return found.select("doc_id", "begin", "n"), groups.select("least", "first.*")
 
@@ -124,7 +124,7 @@ def opened_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The windows of the ``chosen`` segments: least, mark (now of the window), doc_id, begin, n (1)."""
     key = ["doc_id", "variant"]
     placed = chosen.select("doc_id", F.shiftright("begin", 32).cast("int").alias("variant"), F.struct(F.col("begin").bitwiseAND(F.lit(APART - 1)).alias("begin"), "n", "least").alias("x"))
-    lists = cut(placed.groupBy(*key).agg(F.collect_set("x").alias("chosen")))
+    lists = stored(placed.groupBy(*key).agg(F.collect_set("x").alias("chosen")), "lists")
     if lists.count() <= BROADCAST_ROWS:  # then the other texts needn't move
         docs = docs.join(F.broadcast(lists.select(*key)), key, "left_semi")
     wide = lists.join(docs, key).select(*key, "chosen", "text")
@@ -150,10 +150,10 @@ def later_passages(docs: DataFrame, table: DataFrame | None) -> DataFrame:
     """doc_id, variant and marks (begin, n): where the units begin that equal an earlier one by (doc_id, variant, position)."""
     rows = texts_apart(docs, table)
     every = stored(all_segments(rows), "segments")
-    often = cut(every.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
-    found, firsts = later(cut(every.join(small_side(often), "least").select("least", "mark", "doc_id", "begin", "n")))
-    shared = cut(firsts.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"))
-    single, _ = later(cut(opened_windows(rows, firsts.join(small_side(shared), "least"))))
+    often = stored(every.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"), "often")
+    found, firsts = later(stored(every.join(small_side(often), "least").select("least", "mark", "doc_id", "begin", "n"), "units"))
+    shared = stored(firsts.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("least"), "shared")
+    single, _ = later(stored(opened_windows(rows, firsts.join(small_side(shared), "least")), "windows"))
     return local(found.unionByName(single), "begin", "n")
 
 

@@ -65,3 +65,26 @@ def test_a_passage_inside_a_line(spark):
     rows = [(1, f"own {passage} start"), (2, f"other\nbegin {passage} end here\nlast")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r["doc_id"]: r["text"] for r in passages.dedup_passages(docs).collect()} == {1: rows[0][1], 2: "other\nbegin  end here\nlast"}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from corpusloom.llm.runtime import stored
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        names = [blocks.apply(k).toString() for k in range(blocks.size())]
+        return {x.split("_")[1] for x in names if x.startswith("shuffle_")}
+
+    before = shuffles()
+    rows = spark.range(5000).groupBy((F.col("id") % 100).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    table = stored(rows, "counts")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert sorted((r["x"], r["n"]) for r in table.collect()) == [(k, 50) for k in range(100)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
