@@ -8,6 +8,7 @@ reach each of them:
 - BPE models: their scores are merge ranks, whose sum means nothing. A way is the right
   one if and only if each two neighbouring pieces are what merging makes of their joint
   text; of the pieces that end at a position exactly one continues a right way so.
+  Chunks are relaxed side by side: the pass takes a position of all of them at a time.
 
 Both give the ids of the public SentencePiece library for the same model file.
 """
@@ -18,6 +19,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -33,9 +35,15 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Chunks (in each of two generations) and pairs of pieces that a worker remembers: some 15 and 25 MB, whatever the number of texts.
+#: Chunks (in each of two generations) and pairs of pieces that a worker remembers: some 15 and 12 MB, whatever the number of texts.
 CACHED = 40_000
-PAIRS = 250_000
+PAIRS = 120_000
+#: Slots of the array of pairs before these, a power of two (8 MB).
+SLOTS = 1 << 20
+#: Code points of a chunk that is remembered and relaxed beside others, chunks that are so at a time, and bytes of text that are cut into them.
+SHORT = 64
+BESIDE = 1 << 13
+TOGETHER = 3 << 16
 
 
 def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -93,23 +101,31 @@ class Model:
 
 
 class Cache(dict):
-    """Chunk -> ids as bytes, of at most 2 x CACHED chunks in two generations."""
+    """Chunk -> ids as bytes, of at most 2 x CACHED chunks in two generations; ``encode`` takes many chunks."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode, self.old = encode, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.old.get(chunk)
-        if found is None:
-            ids = self.encode(chunk)
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= 64:
-            if len(self) >= CACHED:
+    def all(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk; equal ones are encoded once."""
+        out = []
+        for begin in range(0, len(chunks), CACHED):
+            some = chunks[begin : begin + CACHED]
+            needed = set(some)
+            absent = needed.difference(self)
+            if len(self) + len(absent) > CACHED:
                 self.old = dict(self)
                 self.clear()
-            self[chunk] = found
-        return found
+                absent = needed
+            new = list(absent.difference(self.old))
+            self.update((x, self.old[x]) for x in absent.intersection(self.old))
+            self.update(zip(new, self.encode(new)))
+            out += map(self.__getitem__, some)
+            for x in new:
+                if len(x) > SHORT:
+                    del self[x]
+        return out
 
 
 class Codec:
@@ -124,7 +140,7 @@ class Codec:
         for k, (piece, score, kind) in enumerate(model.pieces):
             if kind == NORMAL:
                 self.ids[piece] = k
-                self.automaton.add_word(piece, (k, len(piece), score))
+                self.automaton.add_word(piece, k)
             elif kind == UNKNOWN:
                 self.unknown = k
             elif kind == BYTE:
@@ -132,14 +148,21 @@ class Codec:
             self.plain.append(bytes([int(piece[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else piece.replace(BLANK, " ").encode())
         self.automaton.make_automaton()
         self.scores = [x[1] for x in model.pieces]
+        self.sizes = [len(x[0]) for x in model.pieces]
+        self.lengths = np.array(self.sizes, np.int64)
         apart = not any(re.search(f"[^{BLANK}]{BLANK}", x) for x in self.ids)
-        self.chunks = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if apart and model.kind == BPE else "(?s).+").findall
-        if model.kind == UNIGRAM:
-            self.chunks = re.compile("(?s).+").findall
         self.known = {x for x in self.ids if len(x) == 1}
+        inside = "".join(map(re.escape, sorted(self.known - {BLANK})))  # no piece goes over an unknown character either
+        self.chunks = re.compile(f"{BLANK}*[{inside}]+|{BLANK}+|[^{BLANK}{inside}]+" if apart and inside and model.kind == BPE else "(?s).+").findall
         self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
-        self.cache = Cache(self.bpe if model.kind == BPE else self.viterbi)
+        #: Two numbers beside those of pieces: what precedes a chunk's first piece, and a position that no right way reaches.
+        self.begin, self.never = len(model.pieces), len(model.pieces) + 1
+        #: Key of a pair << 1 | whether it fits, each at the slot of its key's hash.
+        self.slots = np.full(SLOTS if model.kind == BPE else 1, -1, np.int64)
+        if model.kind == BPE:
+            self.tables()
+        self.cache = Cache(self.side_by_side if model.kind == BPE else lambda chunks: [self.packed(self.viterbi(x)) for x in chunks])
 
     def normal(self, text: str) -> str:
         return (" " + text if self.model.prefix and text else text).replace(" ", BLANK)
@@ -170,6 +193,101 @@ class Codec:
             found = self.pairs[key] = self.merged(self.model.pieces[a][0] + self.model.pieces[b][0]) == [a, b]
         return found
 
+    def fit(self, keys: np.ndarray) -> np.ndarray:
+        """``fits`` for left << 32 | right, or ``alone`` where left is ``begin``; what isn't in the array of slots is asked once a pair."""
+        at = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(65 - SLOTS.bit_length())).view(np.int64)
+        found = self.slots[at]
+        good = (found & 1).astype(bool)
+        missed = np.flatnonzero(found >> 1 != keys)
+        if len(missed):
+            asked, back = np.unique(keys[missed], return_inverse=True)
+            told = np.array([False if a == self.never else self.alone(b) if a == self.begin else self.fits(a, b) for a, b in zip((asked >> 32).tolist(), (asked & 0xFFFFFFFF).tolist())], bool)
+            good[missed] = told[back]
+            self.slots[at[missed]] = keys[missed] << 1 | good[missed]
+        return good
+
+    def tables(self) -> None:
+        """The automaton as arrays: sorted edges (state, character), where they lead, where a state without one fails to, and the pieces that end in each state, longest first."""
+        states = {x: k for k, x in enumerate(sorted({x[:k] for x in self.ids for k in range(len(x) + 1)} | {""}, key=len))}
+        self.kinds = np.zeros(0x110000, np.min_scalar_type(len(self.known)))  # of each code point: 0 for unknown characters
+        for k, x in enumerate(sorted(self.known)):
+            self.kinds[ord(x)] = k + 1
+        self.width = len(self.known) + 1
+        edges = sorted((states[x[:-1]] * self.width + int(self.kinds[ord(x[-1])]), k) for x, k in states.items() if k and x[-1] in self.known)
+        self.edges, self.leads = np.array([*edges, (np.iinfo(np.int64).max, 0)], np.int64).T.copy()
+        fails = [next((states[x[k:]] for k in range(1, len(x)) if x[k:] in states), 0) for x in states]
+        ends: list[list[int]] = []
+        for x, k in states.items():
+            ends.append(([self.ids[x]] if x in self.ids else []) + (ends[fails[k]] if k else []))
+        self.fails = np.array(fails, np.int64)
+        self.ends = np.array([*chain.from_iterable(ends)], np.int64)
+        self.ends_at = np.concatenate([[0], np.cumsum([len(x) for x in ends])])
+
+    def step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The automaton's next state of each of these, by its character."""
+        out, left = np.zeros(len(state), np.int64), np.arange(len(state))
+        while len(left):
+            key = state * self.width + kind
+            at = np.searchsorted(self.edges, key)
+            met = self.edges[at] == key
+            out[left[met]] = self.leads[at[met]]
+            more = np.flatnonzero(~met & (state > 0))
+            left, kind, state = left[more], kind[more], self.fails[state[more]]
+        return out
+
+    def side_by_side(self, chunks: list[str]) -> list[bytes]:
+        """``bpe`` of many chunks, the first position of each, then the second, and so on.
+
+        Chunks that no right way crosses (unknown characters, pieces that merging can't make) and long ones are encoded one by one.
+        """
+        out: list[bytes] = []
+        for begin in range(0, len(chunks), BESIDE):
+            out += self.beside(chunks[begin : begin + BESIDE])
+        return out
+
+    def beside(self, chunks: list[str]) -> list[bytes]:
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(-sizes, kind="stable")
+        order = order[np.searchsorted(-sizes[order], -SHORT) :]
+        sizes = sizes[order]
+        first = np.cumsum(sizes + 1) - sizes - 1  # of a chunk's positions, one more than it has characters
+        text = "\0".join([chunks[k] for k in order.tolist()])
+        kinds = self.kinds[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        last, count = np.full(len(text) + 1, self.never, np.int64), np.zeros(len(text) + 1, np.int64)
+        last[first] = self.begin
+        state = np.zeros(len(order), np.int64)
+        for k, n in enumerate(np.searchsorted(-sizes, -np.arange(sizes.max(initial=0))).tolist()):  # n chunks have over k characters
+            state = self.step(state[:n], kinds[first[:n] + k])
+            ends_at = self.ends_at[state]
+            found = self.ends_at[state + 1] - ends_at
+            upto = np.cumsum(found)
+            piece = self.ends[np.arange(upto[-1]) + np.repeat(ends_at - upto + found, found)]
+            to = np.repeat(first[:n] + k + 1, found)
+            since = to - self.lengths[piece]
+            good = np.flatnonzero(self.fit(last[since] << 32 | piece))[::-1]  # of one end the longest last, which overwrites others
+            to = to[good]
+            last[to] = piece[good]
+            count[to] = count[since[good]] + 1
+        at = first + sizes
+        done = np.flatnonzero(last[at] < self.begin)
+        at, mine = at[done], order[done].tolist()
+        upto = np.cumsum(count[at])
+        ids, place = np.empty(upto[-1] if len(upto) else 0, "<u4"), upto - 1
+        while len(at):
+            ids[place] = found = last[at]
+            at = at - self.lengths[found]
+            more = np.flatnonzero(last[at] < self.begin)
+            at, place = at[more], place[more] - 1
+        raw, begin = ids.tobytes(), 0
+        packed = {}
+        for k, end in zip(mine, (4 * upto).tolist()):
+            packed[k], begin = raw[begin:end], end
+        return [packed[k] if k in packed else self.packed(self.bpe(x)) for k, x in enumerate(chunks)]
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def bpe(self, chunk: str) -> list[int]:
         if self.known.issuperset(chunk):
             return self.bpe_known(chunk)
@@ -189,13 +307,13 @@ class Codec:
         last, size = [-1] * (n + 1), [0] * (n + 1)
         ends = -1
         known = self.pairs.get
-        for end, (piece, length, _) in self.automaton.iter(text):  # longest first at each end
-            at = end + 1
+        for end, piece in self.automaton.iter(text):  # longest first at each end
+            at, length = end + 1, self.sizes[piece]
             if at == ends:
                 continue
             before = at - length
             if before == 0:
-                good = n == length or self.alone(piece)
+                good = self.alone(piece)
             elif (left := last[before]) < 0:
                 continue
             elif (good := known(left << 32 | piece)) is None:
@@ -230,8 +348,8 @@ class Codec:
                 if text[done - 1] not in self.known and best[done - 1] + worst > best[done]:
                     best[done], last[done], size[done] = best[done - 1] + worst, -2, 1
 
-        for end, (piece, length, score) in self.automaton.iter(text):
-            at = end + 1
+        for end, piece in self.automaton.iter(text):
+            at, length, score = end + 1, self.sizes[piece], self.scores[piece]
             close(at - 1)
             if best[at - length] + score > best[at]:
                 best[at], last[at], size[at] = best[at - length] + score, piece, length
@@ -251,7 +369,18 @@ class Codec:
         return out[::-1]
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.cache.__getitem__, self.chunks(self.normal(text)))), dtype="<u4")
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; chunks that several share are encoded once."""
+        chunks, ends = [], []
+        for text in texts:
+            chunks += self.chunks(self.normal(text))
+            ends.append(len(chunks))
+        ids, begin = self.cache.all(chunks), 0
+        for end in ends:
+            yield np.frombuffer(b"".join(ids[begin:end]), dtype="<u4")
+            begin = end
 
     def decode(self, ids: np.ndarray) -> str:
         plain = self.plain
@@ -323,8 +452,9 @@ def _run(docs: DataFrame, raw: bytes, one, kinds: list[tuple]) -> DataFrame:
         own = codec(raw)
         for batch in batches:
             _, offsets = buffers(batch.column("text"))
-            for first, last in slices(offsets):
-                out = [one(own, text, own.encode(text)) for text in batch.column("text").slice(first, last - first).to_pylist()]
+            for first, last in slices(offsets, TOGETHER):
+                texts = batch.column("text").slice(first, last - first).to_pylist()
+                out = [one(own, text, ids) for text, ids in zip(texts, own.encode_all(texts))]
                 columns = [pa.array([x[k] for x in out], kind) for k, (_, kind, _) in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), *columns], names)
 

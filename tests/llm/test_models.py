@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -90,6 +91,37 @@ def test_bpe_ids_are_the_librarys(spark, codec):
         assert codec.decode(ids) == text
 
 
+def test_chunks_are_relaxed_side_by_side(spark, monkeypatch):
+    alone = []
+    plain = pieces.Codec.bpe
+    monkeypatch.setattr(pieces.Codec, "bpe", lambda self, chunk: alone.append(chunk) or plain(self, chunk))
+    own = pieces.Codec(pieces.Model.parse(pieces.model_file()))
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(5)
+    texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(300).collect()]
+    some = sorted(set("".join(texts)))
+    texts += ["".join(rng.choice(some + list("  \n\0▁é漢🎉x")) for _ in range(rng.randrange(200))) for _ in range(300)]
+    texts += ["", "x" * 64, "ab" * 33, "a\nb", "\0", "▁", "▁▁ ▁\n▁"]
+    assert [x.tolist() for x in own.encode_all(texts)] == library.encode(texts)
+    assert all(len(x) > pieces.SHORT or not own.known.issuperset(x) for x in alone)  # no other chunk is encoded by itself
+    short = {x for text in texts for x in own.chunks(own.normal(text)) if x not in alone}
+    assert len(short) > 10_000 > 20 * len(set(alone))
+
+
+def test_bpe_of_other_vocabularies_is_plain_merging():
+    rng = random.Random(6)
+    for _ in range(60):
+        words = list("abc▁"[: rng.randrange(2, 5)])
+        for _ in range(rng.randrange(12)):  # each made of two others, some of a blank inside
+            words.append(rng.choice(words) + rng.choice(words))
+        words = list(dict.fromkeys(words))
+        own = pieces.Codec(pieces.Model([("<unk>", 0.0, pieces.UNKNOWN)] + [(w, -float(k), pieces.NORMAL) for k, w in enumerate(words)], pieces.BPE))
+        texts = ["".join(rng.choice("abbc d") for _ in range(rng.randrange(1, 90))) for _ in range(40)]
+        for text, ids in zip(texts, own.encode_all(texts)):
+            runs = re.findall(f"[{''.join(own.known)}]+|[^{''.join(own.known)}]", own.normal(text))
+            assert ids.tolist() == [k for x in runs for k in (own.merged(x) if x[0] in own.known else [0])]
+
+
 def test_viterbi_matches_brute_force():
     rng = random.Random(2)
     words = ["a", "b", "c", "ab", "bc", "abc", "ca", "aab", "▁", "▁a"]
