@@ -155,12 +155,13 @@ def guide(text: Column, wanted: str) -> list[Gate]:
     ]
 
 
-def academic(text: Column, wanted: str) -> list[Gate]:
+def academic(text: Column, wanted: str, glyphs: int = 5, glyph_share: float = 0.00001) -> list[Gate]:
+    """More than ``glyphs`` unreadable ones, or than ``glyph_share`` of the text, are too many."""
     unread = F.regexp_count(text, F.lit("\\uFFFD"))
     return [
         Gate("too_little_extractable_text", F.length(text) < 5000),
         Gate("low_letter_ratio", F.col("polish") < 0.55),
-        Gate("excessive_unreadable_glyphs", (unread > 5) | (unread / F.greatest(F.length(text), F.lit(1)) > 0.00001)),
+        Gate("excessive_unreadable_glyphs", (unread > glyphs) | (unread / F.greatest(F.length(text), F.lit(1)) > glyph_share)),
         Gate("non_polish", foreign(0.95, wanted)),
     ]
 
@@ -177,8 +178,8 @@ def notice(text: Column, wanted: str) -> list[Gate]:
 SOURCES: dict[str, Callable[[Column, str], list[Gate]]] = {f.__name__: f for f in (textbook, chemistry, lesson, guide, academic, notice)}
 
 
-def judged(rows: DataFrame, kinds: list[str], provider: Provider, wanted: str = "pl") -> DataFrame:
-    """``rows`` with ``reasons``: for each of the ``kinds`` of sources the reason that rejects the row, or null.
+def judged(rows: DataFrame, kinds: list[str], provider: Provider, wanted: str = "pl", sources: dict[str, Callable[[Column, str], list[Gate]]] = SOURCES) -> DataFrame:
+    """``rows`` with ``reasons``: for each of the ``kinds`` of ``sources`` the reason that rejects the row, or null.
 
     ``rows`` has text (null counts as empty) and what the gates of the kinds look at: slug, title,
     authors, math_failed, math_unbalanced, license_on_page, license_in_source, rights_conflict,
@@ -187,5 +188,5 @@ def judged(rows: DataFrame, kinds: list[str], provider: Provider, wanted: str =
     """
     text = F.coalesce("text", F.lit(""))
     asked = rows.withColumns({"said": provider.of(text), "latin": share(LATIN, text), "polish": share(POLISH, text)})
-    reasons = F.array(*(F.struct(F.lit(k).alias("kind"), reason_of(SOURCES[k](text, wanted)).alias("reason")) for k in kinds))
+    reasons = F.array(*(F.struct(F.lit(k).alias("kind"), reason_of(sources[k](text, wanted)).alias("reason")) for k in kinds))
     return asked.withColumn("reasons", reasons).drop("said", "latin", "polish")

@@ -1,5 +1,8 @@
 """Each gate of each kind of source is hit once, in its order; providers of languages."""
 
+from collections import Counter
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +68,14 @@ def test_texts_are_judged_once(spark):
     plan = source_gate_reasons(spark, "/root/testdata/sf0.01")._jdf.queryExecution().optimizedPlan().toString()
     # eleven words, unreadable glyphs as a number and as a share, and a count of letters for each of two alphabets
     assert plan.count("regexp_extract_all") == 15 and plan.count("lower(") == 1
+
+
+def test_one_glyph_in_a_long_text_counts_as_in_the_sql(spark, tmp_path):
+    from corpusloom.operators.evidence_queries import ORACLES, source_gate_reasons
+
+    texts = [(29, "word " * n, lang) for n, lang in ((19_000, "en"), (19_999, "en"), (20_000, "en"), (24_000, "en"), (24_000, "es"), (24_000, None))] + [(30, "word " * 24_000, "en"), (58, None, "en")]
+    spark.createDataFrame(texts, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    documents = duckdb.read_parquet(f"{tmp_path}/documents.parquet/*.parquet")  # noqa: F841 (named in the SQL)
+    found = Counter(tuple(r) for r in source_gate_reasons(spark, str(tmp_path)).collect())
+    assert found == Counter(duckdb.sql(ORACLES["source_gate_reasons"]).fetchall())
+    assert ("academic", "excessive_unreadable_glyphs", 6) in found
